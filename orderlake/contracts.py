@@ -60,6 +60,12 @@ LINE_SIGNATURE = ["order_id", "customer_id", "product_id", "quantity",
 
 TRACKED = ["status"]
 
+VERSION = T.StructType([
+    T.StructField("is_current", T.BooleanType()),
+    T.StructField("valid_from", T.DateType()),
+    T.StructField("valid_to", T.TimestampType()),
+])
+
 # --- fixed values: names and texts that readers of the tables rely on ------
 
 STATUS_RANK = {"CANCELLED": 0, "PLACED": 1, "PROCESSING": 2, "SHIPPED": 3, "DELIVERED": 4}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,7 +33,7 @@ def subset_contract(contract: T.StructType, present: list[str]) -> T.StructType:
     return T.StructType([field for field in contract if field.name in present])
 
 
-def stamp_orders(rows: DataFrame, as_of: str, source: F.Column, with_time: bool = True) -> DataFrame:
+def stamp_orders(rows: DataFrame, as_of: str, source: Column, with_time: bool = True) -> DataFrame:
     """Order-grain lineage: load date, source file and (optionally) load time."""
     lineage = {"ingest_date": F.to_date(moment(as_of)), "source_filename": source}
     if with_time:
@@ -41,6 +41,9 @@ def stamp_orders(rows: DataFrame, as_of: str, source: F.Column, with_time: bool
     return rows.withColumns(lineage)
 
 
-def stamp_lines(rows: DataFrame, source: F.Column) -> DataFrame:
-    """Line-grain lineage: only the file name; the load date is part of the data."""
-    return rows.withColumns({"_source_file": source})
+def stamp_lines(rows: DataFrame, source: Column, loaded_at: str | None = None) -> DataFrame:
+    """Line-grain lineage: the file name and (optionally) the load time; the load date is in the data."""
+    lineage = {"_source_file": source}
+    if loaded_at is not None:
+        lineage["_loaded_at"] = moment(loaded_at)
+    return rows.withColumns(lineage)

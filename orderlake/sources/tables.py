@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from orderlake.operators.layout import cluster_rows
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, as the session names it."""
@@ -137,6 +139,12 @@ class LakeTable:
             return self.publish(rows)
         return self._write(rows, self.location(), "append")
 
+    def optimize(self, columns: tuple[str, ...] = ()) -> int:
+        """Rewrite the table as a new snapshot with nearby values in the same files."""
+        order = [*self.partition_by, *(columns or self.cluster_by)]
+        plain = LakeTable(self.spark, self.path, self.partition_by, schema=self.schema)
+        return plain.publish(cluster_rows(self.read(), order))
+
     def replace_partitions(self, rows: DataFrame) -> int:
         """Replace only the partitions that ``rows`` has rows for.
 
