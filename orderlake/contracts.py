@@ -7,6 +7,7 @@ from typing import NamedTuple
 from pyspark.sql import types as T
 
 PRICE = T.DecimalType(12, 2)
+MONEY = T.DecimalType(20, 2)
 
 # --- order grain: one row per order ---------------------------------------
 
@@ -66,6 +67,17 @@ VERSION = T.StructType([
     T.StructField("valid_to", T.TimestampType()),
 ])
 
+ORDER_SUMMARY = T.StructType([
+    T.StructField("order_id", T.StringType()),
+    T.StructField("customer_id", T.StringType()),
+    T.StructField("region", T.StringType()),
+    T.StructField("order_date", T.DateType()),
+    T.StructField("line_item_count", T.LongType()),
+    T.StructField("total_quantity", T.LongType()),
+    T.StructField("total_order_value", MONEY),
+    T.StructField("status", T.StringType()),
+])
+
 # --- fixed values: names and texts that readers of the tables rely on ------
 
 STATUS_RANK = {"CANCELLED": 0, "PLACED": 1, "PROCESSING": 2, "SHIPPED": 3, "DELIVERED": 4}

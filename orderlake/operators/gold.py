@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlake.contracts import STATUS_RANK, UNRANKED, UNRANKED_LABEL
+from orderlake.contracts import MONEY, STATUS_RANK, UNRANKED, UNRANKED_LABEL
 from orderlake.functions import label_of, line_value, moment, rank_of
 from orderlake.operators.merge import closed_versions, current_versions
 
@@ -14,7 +14,7 @@ def daily_revenue(orders: DataFrame) -> DataFrame:
     """Revenue per order date and product; a missing factor counts as zero."""
     zero_filled = orders.fillna(0, subset=["quantity", "unit_price"])
     return (zero_filled.groupBy("order_date", "product_id")
-            .agg(F.sum(line_value()).alias("daily_sum")))
+            .agg(F.sum(line_value()).cast(MONEY).alias("daily_sum")))
 
 
 def status_counts(orders: DataFrame) -> DataFrame:
@@ -41,7 +41,7 @@ def order_summary(history: DataFrame) -> DataFrame:
     return (ranked.groupBy("order_id", "customer_id", "region", "order_date")
             .agg(F.count(F.lit(1)).alias("line_item_count"),
                  F.sum("quantity").alias("total_quantity"),
-                 F.sum("line_value").alias("total_order_value"),
+                 F.sum("line_value").cast(MONEY).alias("total_order_value"),
                  F.min("status_rank").alias("status_rank"))
             .withColumn("status", label_of("status_rank", STATUS_RANK, UNRANKED_LABEL))
             .drop("status_rank"))
@@ -56,8 +56,9 @@ def region_daily(summary: DataFrame) -> DataFrame:
     return (summary.groupBy("region", "order_date")
             .agg(F.count_distinct("order_id").alias("order_count"),
                  F.sum("total_quantity").alias("_total_quantity"),
-                 F.sum("total_order_value").alias("total_revenue"))
-            .withColumn("avg_order_value", F.round(F.col("total_revenue") / F.col("order_count"), 2)))
+                 F.sum("total_order_value").cast(MONEY).alias("total_revenue"))
+            .withColumn("avg_order_value",
+                        F.round(F.col("total_revenue") / F.col("order_count"), 2).cast(MONEY)))
 
 
 def status_mix(history: DataFrame, order_id: str) -> DataFrame:

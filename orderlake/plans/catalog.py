@@ -26,11 +26,6 @@ def query(make: Query) -> Query:
     return make
 
 
-def money(*names: str) -> dict:
-    """Sums widen a decimal; bring them back to one type for output."""
-    return {name: F.col(name).cast("decimal(20,2)") for name in names}
-
-
 # --- order grain: one batch ------------------------------------------------------
 
 def flagged(spark: SparkSession, sf_dir: str, delivery: int | None = None) -> DataFrame:
@@ -105,7 +100,7 @@ def dropped_null_price(spark, sf_dir):
 
 @query
 def gold_daily_revenue(spark, sf_dir):
-    return gold.daily_revenue(clean(spark, sf_dir)).withColumns(money("daily_sum"))
+    return gold.daily_revenue(clean(spark, sf_dir))
 
 
 @query
@@ -125,19 +120,35 @@ def layer_counts(spark, sf_dir):
 
 
 # --- order grain: two batches ----------------------------------------------------
+#
+# As in the pipeline, the clean batches are written aside once: history, manifest
+# and checks each need them several times, and their sizes are then known.
+
+def order_batches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    stage = Stage(spark)
+    return (stage.keep(clean(spark, sf_dir, 1), "first"), stage.keep(clean(spark, sf_dir, 2), "second"))
+
+
+def merged_orders(first: DataFrame, second: DataFrame) -> DataFrame:
+    return merge.merge_history(merge.open_versions(first), second, ORDER_KEY, TRACKED, DAY2)
+
 
 def order_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    seeded = merge.open_versions(clean(spark, sf_dir, 1))
-    return merge.merge_history(seeded, clean(spark, sf_dir, 2), ORDER_KEY, TRACKED, DAY2)
+    return merged_orders(*order_batches(spark, sf_dir))
+
+
+def stored_order_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Stage(spark).keep(order_history(spark, sf_dir), "history")
 
 
-def order_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return given.manifest(clean(spark, sf_dir, 1), clean(spark, sf_dir, 2))
+def history_and_manifest(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    first, second = order_batches(spark, sf_dir)
+    return merged_orders(first, second), given.manifest(first, second)
 
 
 @query
 def upsert_orders(spark, sf_dir):
-    return merge.upsert(clean(spark, sf_dir, 1), clean(spark, sf_dir, 2), ORDER_KEY)
+    return merge.upsert(*order_batches(spark, sf_dir), ORDER_KEY)
 
 
 @query
@@ -147,14 +158,14 @@ def scd2_orders(spark, sf_dir):
 
 @query
 def scd2_expired(spark, sf_dir):
-    seeded = merge.open_versions(clean(spark, sf_dir, 1))
-    return merge.changed_keys(seeded, clean(spark, sf_dir, 2), ORDER_KEY, TRACKED)
+    first, second = order_batches(spark, sf_dir)
+    return merge.changed_keys(merge.open_versions(first), second, ORDER_KEY, TRACKED)
 
 
 @query
 def scd2_inserted(spark, sf_dir):
-    seeded = merge.open_versions(clean(spark, sf_dir, 1))
-    return merge.open_versions(merge.fresh_rows(seeded, clean(spark, sf_dir, 2), ORDER_KEY, TRACKED))
+    first, second = order_batches(spark, sf_dir)
+    return merge.open_versions(merge.fresh_rows(merge.open_versions(first), second, ORDER_KEY, TRACKED))
 
 
 @query
@@ -164,51 +175,57 @@ def scd2_version_counts(spark, sf_dir):
 
 @query
 def scd2_one_order(spark, sf_dir):
-    history = order_history(spark, sf_dir)
+    history = stored_order_history(spark, sf_dir)
     first_changed = merge.closed_versions(history).agg(F.min("order_id").alias("order_id"))
     return audit.versions_of(history, "order_id", first_changed.scalar())
 
 
 @query
 def gold_status_change_log(spark, sf_dir):
-    return gold.status_change_log(order_history(spark, sf_dir), DAY2)
+    return gold.status_change_log(stored_order_history(spark, sf_dir), DAY2)
 
 
 @query
 def scd2_version_mismatch(spark, sf_dir):
-    return reconcile.version_mismatches(gold.status_change_log(order_history(spark, sf_dir)))
+    return reconcile.version_mismatches(gold.status_change_log(stored_order_history(spark, sf_dir)))
 
 
 @query
 def manifest_categories(spark, sf_dir):
-    return (order_manifest(spark, sf_dir).groupBy("expected_category")
+    return (given.manifest(*order_batches(spark, sf_dir)).groupBy("expected_category")
             .agg(F.count(F.lit(1)).alias("order_count")))
 
 
 @query
 def recon_missing(spark, sf_dir):
-    return reconcile.missing_history(order_history(spark, sf_dir), order_manifest(spark, sf_dir))
+    return reconcile.missing_history(*history_and_manifest(spark, sf_dir))
 
 
 @query
 def recon_unexpected(spark, sf_dir):
-    return reconcile.unexpected_history(order_history(spark, sf_dir), order_manifest(spark, sf_dir))
+    return reconcile.unexpected_history(*history_and_manifest(spark, sf_dir))
 
 
 @query
 def recon_wrong_history(spark, sf_dir):
-    return reconcile.wrong_history(order_history(spark, sf_dir), order_manifest(spark, sf_dir))
+    return reconcile.wrong_history(*history_and_manifest(spark, sf_dir))
 
 
 @query
 def recon_summary(spark, sf_dir):
-    return reconcile.reconciliation(order_history(spark, sf_dir), order_manifest(spark, sf_dir))
+    return reconcile.reconciliation(*history_and_manifest(spark, sf_dir))
 
 
 # --- line grain: quality -----------------------------------------------------------
 
+def landed_lines(spark: SparkSession, sf_dir: str, delivery: int | None = None) -> DataFrame:
+    """Typed rows over a delivery that was landed as text, as the pipeline reads them."""
+    landed = Stage(spark).keep(given.landed_lines(spark, sf_dir, delivery), "landed")
+    return given.type_lines(landed)
+
+
 def checked(spark: SparkSession, sf_dir: str, delivery: int | None = None) -> DataFrame:
-    return quality.check_rows(given.typed_lines(spark, sf_dir, delivery), LINE_RULES, LINE_SIGNATURE)
+    return quality.check_rows(landed_lines(spark, sf_dir, delivery), LINE_RULES, LINE_SIGNATURE)
 
 
 def rules_as_text(rows: DataFrame) -> DataFrame:
@@ -259,14 +276,16 @@ def dq_bad(spark, sf_dir):
 # --- line grain: history and business tables ---------------------------------------
 
 def line_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    seeded = merge.open_versions(quality.passed(checked(spark, sf_dir, 1)))
-    return merge.merge_history(seeded, quality.passed(checked(spark, sf_dir, 2)), LINE_KEY, TRACKED, DAY2)
+    stage = Stage(spark)
+    first = stage.keep(quality.passed(checked(spark, sf_dir, 1)), "first")
+    second = stage.keep(quality.passed(checked(spark, sf_dir, 2)), "second")
+    return merge.merge_history(merge.open_versions(first), second, LINE_KEY, TRACKED, DAY2)
 
 
 @query
 def bronze_upsert_lines(spark, sf_dir):
-    return merge.replace_key_groups(given.raw_lines(spark, sf_dir, 1),
-                                    given.redelivered_lines(spark, sf_dir), LINE_BRONZE_KEY)
+    again = Stage(spark).keep(given.redelivered_lines(spark, sf_dir), "again")
+    return merge.replace_key_groups(given.raw_lines(spark, sf_dir, 1), again, LINE_BRONZE_KEY)
 
 
 @query
@@ -276,18 +295,18 @@ def scd2_lines(spark, sf_dir):
 
 @query
 def gold_order_summary(spark, sf_dir):
-    return gold.order_summary(line_history(spark, sf_dir)).withColumns(money("total_order_value"))
+    return gold.order_summary(line_history(spark, sf_dir))
 
 
 @query
 def gold_region_daily(spark, sf_dir):
     summary = gold.order_summary(line_history(spark, sf_dir))
-    return gold.region_daily(summary).withColumns(money("total_revenue", "avg_order_value"))
+    return gold.region_daily(summary)
 
 
 @query
 def order_status_mix(spark, sf_dir):
-    history = line_history(spark, sf_dir)
+    history = Stage(spark).keep(line_history(spark, sf_dir), "history")
     first_changed = merge.closed_versions(history).agg(F.min("order_id").alias("order_id"))
     return gold.status_mix(history, first_changed.scalar())
 

@@ -165,9 +165,17 @@ def raw_lines(spark: SparkSession, sf_dir: str, delivery: int | None = None) ->
     )
 
 
-def typed_lines(spark: SparkSession, sf_dir: str, delivery: int | None = None) -> DataFrame:
+def landed_lines(spark: SparkSession, sf_dir: str, delivery: int | None = None) -> DataFrame:
     file = F.lit(f"lines_day{delivery}.csv" if delivery else "lines.csv")
-    return conform(trim_text(stamp_lines(raw_lines(spark, sf_dir, delivery), file)), LINE_TYPES)
+    return stamp_lines(raw_lines(spark, sf_dir, delivery), file)
+
+
+def type_lines(landed: DataFrame) -> DataFrame:
+    return conform(trim_text(landed), LINE_TYPES)
+
+
+def typed_lines(spark: SparkSession, sf_dir: str, delivery: int | None = None) -> DataFrame:
+    return type_lines(landed_lines(spark, sf_dir, delivery))
 
 
 def redelivered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderlake.contracts import (LINE_BRONZE_KEY, LINE_KEY, LINE_RAW, LINE_RULES, LINE_SIGNATURE,
-                                 LINE_TYPES, TRACKED, VERSION)
+                                 LINE_TYPES, ORDER_SUMMARY, TRACKED, VERSION)
 from orderlake.functions import moment
 from orderlake.operators import audit, duplicates, gold, merge, quality, skew, standardize
 from orderlake.plans.lake import Lake, in_partitions, values_of
@@ -34,7 +34,7 @@ class LineLake(Lake):
         self.silver = self.table("silver/lines", partition_by=by_day, schema=SILVER,
                                  cluster_by=("order_id", "region", "line_item_seq", "valid_from"))
         self.order_summary = self.table("gold/order_summary", partition_by=by_day,
-                                        cluster_by=("order_id", "customer_id", "region"))
+                                        cluster_by=("order_id", "customer_id", "region"), schema=ORDER_SUMMARY)
         # a handful of rows per day: never split by date, always one ordered set of files
         self.region_daily = self.table("gold/region_daily", cluster_by=("region", "order_date"))
 
