@@ -87,11 +87,18 @@ class LineLake(Lake):
             "repeated_lines")
         return quality.check_rows(typed, self.rules, LINE_SIGNATURE, repeated)
 
-    def refine(self, as_of: str) -> None:
+    def check(self, as_of: str) -> DataFrame:
+        """Quarantine the rows that fail a rule; returns the others."""
         checked = self.checked(as_of)
         same_load = F.col("_quarantined_at") == moment(as_of)
         self.write_batch(self.quarantine, quality.failed(checked, as_of), same_load, as_of)
-        self.merge_history(self.silver, quality.passed(checked), LINE_KEY, TRACKED, as_of)
+        return quality.passed(checked)
+
+    def merge(self, good: DataFrame, as_of: str) -> None:
+        self.merge_history(self.silver, good, LINE_KEY, TRACKED, as_of)
+
+    def refine(self, as_of: str) -> None:
+        self.merge(self.check(as_of), as_of)
 
     # --- gold ---------------------------------------------------------------------
 
