@@ -131,7 +131,8 @@ def raw_lines(spark: SparkSession, sf_dir: str, delivery: int | None = None) ->
               .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
               .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
               .select("c_custkey", "r_name"))
-    rows = (lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    # both sides grow with the data, so the join is planned as a shuffled one from the start
+    rows = (lines.join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
             .join(places, F.col("o_custkey") == F.col("c_custkey"))
             .select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice",
                     "l_returnflag", "l_linestatus", "o_custkey", "o_orderdate", "r_name",
