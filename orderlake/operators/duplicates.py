@@ -2,8 +2,8 @@
 
 A key or a signature may own a large share of all rows, so nothing here ranks
 or counts inside a window.  Groups are reduced by map-side aggregation first;
-only the few keys that need a flag come back, through a join whose row side
-Spark can broadcast against or split when one partition grows too big.
+what was found comes back to the rows by :func:`mark_rows`, which never sends a
+heavy group to one task.
 """
 
 from __future__ import annotations
@@ -11,42 +11,73 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlake.functions import all_present, is_true, not_positive_or_missing
+from orderlake.functions import all_present, not_positive_or_missing
 
+HEAVY_GROUPS = 1000
 
-def conflicting_keys(rows: DataFrame, key: str, signature: list[str]) -> DataFrame:
-    """Keys with at least two different signatures: ``key, dup_count, distinct_row_count``.
+
+def mark_rows(rows: DataFrame, groups: DataFrame, keys: list[str], weight: str, mark: str) -> DataFrame:
+    """Add the boolean ``mark`` that ``groups`` holds per key; rows of other keys get false.
+
+    ``groups`` has one row per key, ``weight`` being its number of rows.  The
+    heaviest groups, at most ``HEAVY_GROUPS`` rows and so safe to broadcast,
+    settle their rows on the spot; any other group is a small part of the whole.
+    Rows that are settled, or can match nothing because a key is NULL, are then
+    routed through the shuffled join by the number of the task they come from,
+    which spreads them evenly and stays the same when a task is repeated.
+    """
+    heavy = (groups.orderBy(F.col(weight).desc()).limit(HEAVY_GROUPS)
+             .select(*keys, F.col(mark).alias("heavy_mark")))
+    settled = rows.join(F.broadcast(heavy), keys, "left")
+    is_settled = F.col("heavy_mark").isNotNull() | ~all_present(keys)
+    routed = settled.withColumn("route", F.when(is_settled, F.spark_partition_id()).otherwise(F.hash(*keys)))
+    others = (groups.where(F.col(mark))
+              .select(*keys, F.hash(*keys).alias("route"), F.lit(True).alias("other_mark")))
+    return (routed.join(others, [*keys, "route"], "left")
+            .select(*rows.columns, F.coalesce("heavy_mark", "other_mark", F.lit(False)).alias(mark)))
+
+
+# --- conflicts: one key, several contents ----------------------------------------
+
+def repeated_key_stats(rows: DataFrame, key: str, signature: list[str]) -> DataFrame:
+    """Keys with several rows: ``key, dup_count, distinct_row_count``.
 
     Grouping by the whole signature first folds exact copies and spreads a hot
     key over all tasks; the second grouping sees one partial row per key and task.
-    NULLs inside a signature compare equal; a NULL key is nobody's conflict.
+    NULLs inside a signature compare equal; rows without a key are left out.
     """
     signatures = (rows.where(F.col(key).isNotNull())
                   .groupBy(*signature).agg(F.count(F.lit(1)).alias("copies")))
     return (signatures.groupBy(key)
             .agg(F.sum("copies").alias("dup_count"), F.count(F.lit(1)).alias("distinct_row_count"))
-            .where(F.col("distinct_row_count") > 1))
+            .where(F.col("dup_count") > 1))
+
+
+def conflicting_keys(rows: DataFrame, key: str, signature: list[str]) -> DataFrame:
+    """Keys with at least two different signatures."""
+    return repeated_key_stats(rows, key, signature).where(F.col("distinct_row_count") > 1)
 
 
 def flag_orders(rows: DataFrame, key: str, signature: list[str],
-                conflicts: DataFrame | None = None) -> DataFrame:
+                repeated: DataFrame | None = None) -> DataFrame:
     """Add ``is_conflicting``, ``is_invalid_quantity`` and ``is_invalid_date``.
 
-    ``conflicts`` may be passed in when it was already written to a table: Spark
-    then knows its size before planning and need not shuffle ``rows`` at all.
+    ``repeated`` (see :func:`repeated_key_stats`) may be passed in when it was
+    already written to a table: Spark then knows its size before planning and,
+    if it is small, need not shuffle ``rows`` at all.
     """
-    if conflicts is None:
-        conflicts = conflicting_keys(rows, key, signature)
-    marks = conflicts.select(key, F.lit(True).alias("is_conflicting"))
-    return (rows.join(marks, key, "left")
+    if repeated is None:
+        repeated = repeated_key_stats(rows, key, signature)
+    stats = repeated.withColumn("is_conflicting", F.col("distinct_row_count") > 1)
+    return (mark_rows(rows, stats, [key], "dup_count", "is_conflicting")
             .withColumns({
-                "is_conflicting": is_true(F.col("is_conflicting")),
                 "is_invalid_quantity": not_positive_or_missing("quantity"),
                 "is_invalid_date": F.col("order_date").isNull(),
-            })
-            .select(*rows.columns, "is_conflicting", "is_invalid_quantity", "is_invalid_date"))
+            }))
 
 
+# --- copies: one content, several rows ---------------------------------------------
+
 def repeated_signatures(rows: DataFrame, signature: list[str]) -> DataFrame:
     """Fully present signatures that occur more than once."""
     return (rows.where(all_present(signature))
@@ -75,10 +106,13 @@ def narrow_to_suspects(rows: DataFrame, signature: list[str], suspects: DataFram
 
 
 def flag_copies(rows: DataFrame, signature: list[str], repeated: DataFrame | None = None) -> DataFrame:
-    """Add ``has_one_copy``: the signature is fully present and no other row shares it."""
+    """Add ``has_one_copy``: the signature is fully present and no other row shares it.
+
+    ``repeated`` (see :func:`repeated_signatures`) may be passed in from a table.
+    """
     if repeated is None:
         repeated = repeated_signatures(rows, signature)
-    marks = repeated.select(*signature, F.lit(True).alias("is_repeated"))
-    return (rows.join(marks, signature, "left")
-            .withColumn("has_one_copy", all_present(signature) & F.col("is_repeated").isNull())
-            .select(*rows.columns, "has_one_copy"))
+    groups = repeated.withColumn("is_repeated", F.lit(True))
+    return (mark_rows(rows, groups, signature, "copies", "is_repeated")
+            .withColumn("has_one_copy", all_present(signature) & ~F.col("is_repeated"))
+            .drop("is_repeated"))

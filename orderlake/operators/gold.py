@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from orderlake.contracts import MONEY, STATUS_RANK, UNRANKED, UNRANKED_LABEL
 from orderlake.functions import label_of, line_value, moment, rank_of
-from orderlake.operators.merge import closed_versions, current_versions
+from orderlake.operators.merge import closed_versions, current_versions, one_per_key
 
 
 def daily_revenue(orders: DataFrame) -> DataFrame:
@@ -23,8 +23,7 @@ def status_counts(orders: DataFrame) -> DataFrame:
 
 def status_change_log(history: DataFrame, as_of: str | None = None, key: str = "order_id") -> DataFrame:
     """Every version of the keys that have a closed one."""
-    changed = closed_versions(history).select(key).distinct()
-    log = history.join(changed, key, "left_semi")
+    log = history.join(one_per_key(closed_versions(history), [key]), key, "left_semi")
     return log if as_of is None else log.withColumn("gold_at", moment(as_of))
 
 

@@ -23,14 +23,25 @@ def unique_or_fail(batch: DataFrame, keys: list[str]) -> DataFrame:
     return batch.where(verdict.scalar())
 
 
+def one_per_key(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The distinct non-NULL keys, as the right side of a lookup join.
+
+    Grouping by the keys alone would leave this side partitioned for the join
+    already.  Adaptive execution splits a heavy key of the other side only where
+    both sides come straight from a shuffle, so the grouping takes one more
+    column and the join gets a shuffle of its own for these few, narrow rows.
+    """
+    named = rows.select(*keys).where(all_present(keys))
+    return named.withColumn("key_hash", F.hash(*keys)).distinct().select(*keys)
+
+
 def replace_key_groups(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
     """Drop the target rows whose key occurs in ``source``, then add all source rows.
 
     Works for keys with many rows, and applying the same source twice changes
     nothing.  A NULL key matches nothing: its rows stay and are added again.
     """
-    incoming = source.select(*keys).where(all_present(keys)).distinct()
-    return (target.join(incoming, keys, "left_anti")
+    return (target.join(one_per_key(source, keys), keys, "left_anti")
             .unionByName(source, allowMissingColumns=True))
 
 
@@ -74,10 +85,10 @@ def changed_keys(history: DataFrame, batch: DataFrame, keys: list[str], tracked:
 def close_versions(history: DataFrame, changed: DataFrame, keys: list[str], as_of: str) -> DataFrame:
     """The whole history, with the current versions of the ``changed`` keys closed at ``as_of``.
 
-    ``changed`` has one row per key, so no row of the history is multiplied; a
-    key with many rows can be split on the history side of the join.
+    No row of the history is multiplied, and a key with many rows can be split
+    on the history side of the join.
     """
-    marks = changed.select(*keys, F.lit(True).alias("closes_now"))
+    marks = one_per_key(changed, keys).withColumn("closes_now", F.lit(True))
     ends_now = F.col("closes_now")
     now_closed = (current_versions(history).join(marks, keys, "left")
                   .withColumns({

@@ -187,7 +187,8 @@ def gold_status_change_log(spark, sf_dir):
 
 @query
 def scd2_version_mismatch(spark, sf_dir):
-    return reconcile.version_mismatches(gold.status_change_log(stored_order_history(spark, sf_dir)))
+    log = Stage(spark).keep(gold.status_change_log(stored_order_history(spark, sf_dir)), "change_log")
+    return reconcile.version_mismatches(log)
 
 
 @query

@@ -96,7 +96,7 @@ class Lake:
         touched = values_of(changed.select(partition).union(fresh.select(partition)), partition)
         if touched:
             part = history.where(in_partitions(partition, touched))
-            merged = merge.close_versions(part, changed.select(*keys).distinct(), keys, as_of).unionByName(fresh)
+            merged = merge.close_versions(part, changed, keys, as_of).unionByName(fresh)
             self.replace_partitions(table, merged, as_of, "merge history")
 
     # --- reports --------------------------------------------------------------

@@ -77,9 +77,9 @@ class OrderLake(Lake):
         typed = self.delivered(as_of)
         repeated = self.stage.keep(audit.repeated_keys(typed, ORDER_KEY).select(*ORDER_KEY), "repeated_orders")
         suspects = typed.join(repeated, ORDER_KEY, "left_semi")
-        conflicts = self.stage.keep(
-            duplicates.conflicting_keys(suspects, "order_id", ORDER_SIGNATURE), "conflicting_orders")
-        return duplicates.flag_orders(typed, "order_id", ORDER_SIGNATURE, conflicts)
+        stats = self.stage.keep(
+            duplicates.repeated_key_stats(suspects, "order_id", ORDER_SIGNATURE), "repeated_order_stats")
+        return duplicates.flag_orders(typed, "order_id", ORDER_SIGNATURE, stats)
 
     def refine(self, as_of: str) -> None:
         flagged = self.flagged(as_of)
