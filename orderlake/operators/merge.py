@@ -69,17 +69,27 @@ def closed_versions(history: DataFrame) -> DataFrame:
     return history.where(~is_true(F.col("is_current")))
 
 
-def changed_keys(history: DataFrame, batch: DataFrame, keys: list[str], tracked: list[str],
-                 carry: tuple[str, ...] = ()) -> DataFrame:
-    """Keys whose current version the batch closes, with the target's ``carry`` columns.
+def match_versions(history: DataFrame, batch: DataFrame, keys: list[str], tracked: list[str],
+                   carry: tuple[str, ...] = ()) -> DataFrame:
+    """Current versions that the batch has a row for: key, ``carry`` columns and whether it ``changes``.
 
-    Reads only key, tracked and carried columns of the history.
+    The one pass over the history; it reads only key, tracked and carried columns.
     """
     now = current_versions(history).select(*keys, *tracked, *carry).alias("now")
     new = batch.select(*keys, *tracked).alias("new")
-    same_key = [F.col(f"now.{k}") == F.col(f"new.{k}") for k in keys]
-    return (now.join(new, [*same_key, any_differs("now", "new", tracked)], "left_semi")
-            .select(*keys, *carry).distinct())
+    return (now.join(new, [F.col(f"now.{k}") == F.col(f"new.{k}") for k in keys])
+            .select(*[F.col(f"now.{c}") for c in (*keys, *carry)],
+                    any_differs("now", "new", tracked).alias("changes")))
+
+
+def changed_keys(matches: DataFrame, keys: list[str], carry: tuple[str, ...] = ()) -> DataFrame:
+    """Keys whose current version the batch closes."""
+    return matches.where("changes").select(*keys, *carry).distinct()
+
+
+def fresh_rows(batch: DataFrame, matches: DataFrame, keys: list[str]) -> DataFrame:
+    """Batch rows that no current version survives for: changed keys, new keys and NULL keys."""
+    return batch.join(one_per_key(matches.where("NOT changes"), keys), keys, "left_anti")
 
 
 def close_versions(history: DataFrame, changed: DataFrame, keys: list[str], as_of: str) -> DataFrame:
@@ -99,19 +109,11 @@ def close_versions(history: DataFrame, changed: DataFrame, keys: list[str], as_o
     return now_closed.unionByName(closed_versions(history))
 
 
-def fresh_rows(history: DataFrame, batch: DataFrame, keys: list[str], tracked: list[str]) -> DataFrame:
-    """Batch rows that no current version survives for: changed keys, new keys and NULL keys."""
-    now = current_versions(history).select(*keys, *tracked).distinct().alias("now")
-    new = batch.alias("new")
-    same_key = [F.col(f"new.{k}") == F.col(f"now.{k}") for k in keys]
-    return new.join(now, [*same_key, ~any_differs("now", "new", tracked)], "left_anti")
-
-
 def merge_history(history: DataFrame, batch: DataFrame, keys: list[str], tracked: list[str],
                   as_of: str) -> DataFrame:
     """Close what changed, then add the new current versions; batch keys must be unique."""
     batch = unique_or_fail(batch, keys)
-    changed = changed_keys(history, batch, keys, tracked)
-    fresh = open_versions(fresh_rows(history, batch, keys, tracked))
-    return (close_versions(history, changed, keys, as_of)
+    matches = match_versions(history, batch, keys, tracked)
+    fresh = open_versions(fresh_rows(batch, matches, keys))
+    return (close_versions(history, changed_keys(matches, keys), keys, as_of)
             .unionByName(fresh, allowMissingColumns=True))

@@ -159,13 +159,15 @@ def scd2_orders(spark, sf_dir):
 @query
 def scd2_expired(spark, sf_dir):
     first, second = order_batches(spark, sf_dir)
-    return merge.changed_keys(merge.open_versions(first), second, ORDER_KEY, TRACKED)
+    matches = merge.match_versions(merge.open_versions(first), second, ORDER_KEY, TRACKED)
+    return merge.changed_keys(matches, ORDER_KEY)
 
 
 @query
 def scd2_inserted(spark, sf_dir):
     first, second = order_batches(spark, sf_dir)
-    return merge.open_versions(merge.fresh_rows(merge.open_versions(first), second, ORDER_KEY, TRACKED))
+    matches = merge.match_versions(merge.open_versions(first), second, ORDER_KEY, TRACKED)
+    return merge.open_versions(merge.fresh_rows(second, matches, ORDER_KEY))
 
 
 @query

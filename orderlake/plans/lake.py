@@ -72,33 +72,38 @@ class Lake:
 
     def merge_history(self, table: LakeTable, batch: DataFrame, keys: list[str], tracked: list[str],
                       as_of: str) -> None:
-        """Bring a clean batch into a history table.
+        """Bring a clean batch, which the run has written aside, into a history table.
 
-        Which versions close and which rows are new is worked out first, from the
-        key and tracked columns alone, and written aside.  Only partitions that
-        hold such rows are then rewritten; closed versions stay in their
+        One pass over the key and tracked columns of the history finds the
+        versions the batch meets.  Only partitions where a version closes or a
+        row is added are then rewritten; closed versions stay in their
         partition, so none can become empty and be missed.
         """
         if not table.exists():
             self.append(table, merge.open_versions(batch), as_of)
             return
-        batch = merge.unique_or_fail(self.stage.keep(batch, f"{table.name}_batch"), keys)
+        batch = merge.unique_or_fail(batch, keys)
         history = table.read()
-        partition = table.partition_by[0] if table.partition_by else None
-        carry = (partition,) if partition else ()
-        changed = self.stage.keep(merge.changed_keys(history, batch, keys, tracked, carry), f"{table.name}_changed")
-        fresh = self.stage.keep(merge.open_versions(merge.fresh_rows(history, batch, keys, tracked)),
-                                f"{table.name}_fresh")
-        if partition is None:
+        carry = table.partition_by[:1]
+        matches = self.stage.keep(merge.match_versions(history, batch, keys, tracked, carry), f"{table.name}_matches")
+        changed = merge.changed_keys(matches, keys, carry)
+        fresh = self.stage.keep(merge.open_versions(merge.fresh_rows(batch, matches, keys)), f"{table.name}_fresh")
+        if not carry:
             merged = merge.close_versions(history, changed, keys, as_of).unionByName(fresh)
             self.publish(table, merged, as_of, "merge history")
             return
+        partition = carry[0]
         touched = values_of(changed.select(partition).union(fresh.select(partition)), partition)
         if touched:
             part = history.where(in_partitions(partition, touched))
             merged = merge.close_versions(part, changed, keys, as_of).unionByName(fresh)
             self.replace_partitions(table, merged, as_of, "merge history")
 
+    def end_run(self) -> None:
+        """Drop what the run wrote aside."""
+        self.stage.clear()
+        self.stage = Stage(self.spark)
+
     # --- reports --------------------------------------------------------------
 
     def existing(self) -> dict[str, LakeTable]:

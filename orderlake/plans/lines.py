@@ -12,6 +12,7 @@ from orderlake.functions import moment
 from orderlake.operators import audit, duplicates, gold, merge, quality, skew, standardize
 from orderlake.plans.lake import Lake, in_partitions, values_of
 from orderlake.sources.raw import file_name, read_text_columns
+from orderlake.sources.tables import Stage
 
 RAW = T.StructType([T.StructField(name, T.StringType()) for name in [*LINE_RAW, "_source_file"]]
                    + [T.StructField("_loaded_at", T.TimestampType())])
@@ -42,6 +43,7 @@ class LineLake(Lake):
         self.ingest(files, as_of)
         self.refine(as_of)
         self.report(as_of)
+        self.end_run()
 
     # --- bronze -----------------------------------------------------------------
 
@@ -88,8 +90,12 @@ class LineLake(Lake):
         return quality.check_rows(typed, self.rules, LINE_SIGNATURE, repeated)
 
     def check(self, as_of: str) -> DataFrame:
-        """Quarantine the rows that fail a rule; returns the others."""
-        checked = self.checked(as_of)
+        """Quarantine the rows that fail a rule; returns the others.
+
+        The checked rows are written aside once: quarantine and merge both need
+        them, the merge several times.
+        """
+        checked = self.stage.keep(self.checked(as_of), "checked_lines")
         same_load = F.col("_quarantined_at") == moment(as_of)
         self.write_batch(self.quarantine, quality.failed(checked, as_of), same_load, as_of)
         return quality.passed(checked)
@@ -111,7 +117,7 @@ class LineLake(Lake):
 
     def skew(self, columns: list[str] | None = None, top_n: int = 10) -> tuple[DataFrame, DataFrame]:
         """Statistics and heaviest keys per column of the line history."""
-        counts = self.stage.keep(skew.value_counts(self.silver.read(), columns), "value_counts")
+        counts = Stage(self.spark).keep(skew.value_counts(self.silver.read(), columns), "value_counts")
         return skew.skew_stats(counts), skew.heaviest_keys(counts, top_n)
 
     def order_check(self, order_id: str) -> tuple[DataFrame, DataFrame]:

@@ -45,6 +45,7 @@ class OrderLake(Lake):
         self.ingest(files, as_of)
         self.refine(as_of)
         self.report(as_of)
+        self.end_run()
 
     # --- bronze -----------------------------------------------------------------
 
@@ -85,13 +86,12 @@ class OrderLake(Lake):
         flagged = self.flagged(as_of)
         same_load = F.col("ingest_at") == moment(as_of)
         self.write_batch(self.quarantine, quality.quarantined_orders(flagged, as_of), same_load, as_of)
-        clean = quality.clean_orders(flagged, ORDER_SIGNATURE)
+        clean = self.stage.keep(quality.clean_orders(flagged, ORDER_SIGNATURE), "clean_orders")
         if self.keep_history:
             self.merge_history(self.silver, clean, ORDER_KEY, TRACKED, as_of)
         elif not self.silver.exists():
             self.append(self.silver, clean, as_of)
         else:
-            clean = self.stage.keep(clean, "clean_orders")
             self.publish(self.silver, merge.upsert(self.silver.read(), clean, ORDER_KEY), as_of, "upsert")
 
     # --- gold ---------------------------------------------------------------------

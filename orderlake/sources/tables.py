@@ -49,6 +49,11 @@ class Stage:
         rows.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(rows.schema).parquet(path)
 
+    def clear(self) -> None:
+        """Delete everything kept so far; frames read from it can no longer be run."""
+        folder = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.folder)
+        folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
 
 class LakeTable:
     """A named Parquet table with optional partition columns and in-file order."""

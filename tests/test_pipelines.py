@@ -1,5 +1,6 @@
 """Both pipelines from files to tables, reruns and corrections included."""
 
+import os
 from datetime import date, datetime
 from decimal import Decimal
 
@@ -104,6 +105,13 @@ def test_line_pipeline(spark, tmp_path):
         assert {r.table_name for r in lake.health().collect()} == set(counts(lake))
 
 
+def test_a_run_leaves_nothing_written_aside(spark, tmp_path):
+    lake = LineLake(spark, str(tmp_path / "lake"))
+    folder = lake.stage.folder
+    lake.run(line_file(tmp_path / "d1.csv", *DAY1), D1)
+    assert lake.stage.folder != folder and not os.path.exists(folder)
+
+
 def test_history_rewrites_only_the_partitions_that_changed(spark, tmp_path):
     lake = LineLake(spark, str(tmp_path / "lake"))
     lake.run(line_file(tmp_path / "d1.csv", *DAY1), D1)
