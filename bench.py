@@ -22,7 +22,7 @@ from orderlake.session import lake_session
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-ROUNDS = int(os.environ.get("BENCH_ROUNDS", "3"))
+ROUNDS = int(os.environ.get("BENCH_ROUNDS", "2"))
 DAY1, DAY2 = deliveries.FIRST_DAY, deliveries.SECOND_DAY
 
 HEADLINE = ["dup_conflict_flags", "clean_orders", "gold_daily_revenue", "scd2_orders", "recon_summary",

@@ -20,6 +20,11 @@ def values_of(rows: DataFrame, column: str) -> list:
     return [row[0] for row in rows.select(column).distinct().collect()]
 
 
+def rows_per(rows: DataFrame, column: str) -> dict:
+    """Row count per value of a partition column; as many entries as there are folders to touch."""
+    return {row[0]: row[1] for row in rows.groupBy(column).agg(F.count(F.lit(1))).collect()}
+
+
 def in_partitions(column: str, values: list) -> Column:
     """Rows of the named partitions, NULL included when it is one of them."""
     named = [v for v in values if v is not None]
@@ -68,6 +73,39 @@ class Lake:
             others = table.read().where(~F.coalesce(mine, F.lit(False)))
             self.publish(table, others.unionByName(rows, allowMissingColumns=True), as_of, "replace batch")
 
+    # --- upsert ---------------------------------------------------------------
+
+    def upsert(self, table: LakeTable, source: DataFrame, keys: list[str], as_of: str) -> None:
+        """Replace the key groups that ``source`` brings; adds only, where it brings none the table has.
+
+        A first pass over key and partition columns finds the partitions that
+        lose or gain rows, and only those are rewritten.  Where a partition would
+        lose its last row, which a partition-wise rewrite cannot express, the
+        whole table is written anew.
+        """
+        if not table.exists():
+            self.append(table, source, as_of)
+            return
+        stored = table.read()
+        if not table.partition_by:
+            self.publish(table, merge.replace_key_groups(stored, source, keys), as_of, "upsert")
+            return
+        partition = table.partition_by[0]
+        held = stored.select(*{*keys, partition})
+        leaving = rows_per(held.join(merge.one_per_key(source, keys), keys, "left_semi"), partition)
+        if not leaving:
+            self.append(table, source, as_of)
+            return
+        arriving = rows_per(source, partition)
+        part = stored.where(in_partitions(partition, list({*leaving, *arriving})))
+        before = rows_per(part, partition)
+        emptied = [value for value, count in leaving.items()
+                   if count == before[value] and value not in arriving]
+        if emptied:
+            self.publish(table, merge.replace_key_groups(stored, source, keys), as_of, "upsert")
+        else:
+            self.replace_partitions(table, merge.replace_key_groups(part, source, keys), as_of, "upsert")
+
     # --- history --------------------------------------------------------------
 
     def merge_history(self, table: LakeTable, batch: DataFrame, keys: list[str], tracked: list[str],

@@ -52,14 +52,7 @@ class OrderLake(Lake):
     def ingest(self, files: str | list[str], as_of: str) -> None:
         """Land raw rows as they are; files delivered again replace their former orders."""
         raw = standardize.stamp_orders(read_text_columns(self.spark, files, ORDER_RAW), as_of, file_uri())
-        if self.bronze.exists():
-            names = raw.select("source_filename").distinct()
-            seen = self.bronze.read().join(names, "source_filename", "left_semi")
-            if not seen.isEmpty():
-                merged = merge.replace_key_groups(self.bronze.read(), raw, ORDER_BRONZE_KEY)
-                self.publish(self.bronze, merged, as_of, "upsert")
-                return
-        self.append(self.bronze, raw, as_of)
+        self.upsert(self.bronze, raw, ORDER_BRONZE_KEY, as_of)
 
     def delivered(self, as_of: str) -> DataFrame:
         """Typed rows of the delivery stamped ``as_of``; only its load-date partition is read."""
@@ -89,10 +82,8 @@ class OrderLake(Lake):
         clean = self.stage.keep(quality.clean_orders(flagged, ORDER_SIGNATURE), "clean_orders")
         if self.keep_history:
             self.merge_history(self.silver, clean, ORDER_KEY, TRACKED, as_of)
-        elif not self.silver.exists():
-            self.append(self.silver, clean, as_of)
         else:
-            self.publish(self.silver, merge.upsert(self.silver.read(), clean, ORDER_KEY), as_of, "upsert")
+            self.upsert(self.silver, merge.unique_or_fail(clean, ORDER_KEY), ORDER_KEY, as_of)
 
     # --- gold ---------------------------------------------------------------------
 

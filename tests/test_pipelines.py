@@ -75,6 +75,24 @@ def test_order_history_with_manifest_and_rerun(spark, tmp_path):
     assert values(lake.silver.read(), *version) == expected
 
 
+def test_upsert_by_partition(spark, tmp_path):
+    lake = OrderLake(spark, str(tmp_path / "lake"))
+    day = lambda order, date, **more: dict(order_id=order, order_date=date, **more)
+    lake.run(order_file(tmp_path / "d1.csv", day("O1", "2026-01-05"), day("O2", "2026-01-05"),
+                        day("O3", "2026-01-06"), day("O4", "2026-01-07")), D1)
+    first = lake.silver.location()
+    # one order leaves a day that keeps another: three days are rewritten in place
+    lake.run(order_file(tmp_path / "d2.csv", day("O2", "2026-01-08"), day("O3", "2026-01-06", quantity="9")), D2)
+    assert lake.silver.location() == first
+    assert values(lake.silver.read(), "order_id", "order_date", "quantity") == [
+        ("O1", date(2026, 1, 5), 2), ("O2", date(2026, 1, 8), 2), ("O3", date(2026, 1, 6), 9), ("O4", date(2026, 1, 7), 2)]
+    # the last order of a day moves: its old row must not stay behind
+    lake.run(order_file(tmp_path / "d3.csv", day("O4", "2026-01-05")), D3)
+    assert lake.silver.location() != first
+    assert values(lake.silver.read(), "order_id", "order_date") == [
+        ("O1", date(2026, 1, 5)), ("O2", date(2026, 1, 8)), ("O3", date(2026, 1, 6)), ("O4", date(2026, 1, 5))]
+
+
 DAY1 = [{}, dict(line_item_seq="2", quantity=" 3 "), dict(order_id="2", status="SHIPPED"),
         dict(order_id="3"), dict(order_id="3", line_item_seq="9"), dict(order_id="4", region=None),
         dict(order_id="5", order_date="2026-01-06")]
