@@ -87,7 +87,7 @@ def raw_orders(spark: SparkSession, sf_dir: str, delivery: int | None = None,
 
 def typed_orders(spark: SparkSession, sf_dir: str, delivery: int | None = None) -> DataFrame:
     as_of = SECOND_DAY if delivery == 2 else FIRST_DAY
-    file = F.lit(f"orders_day{delivery}.csv" if delivery else "orders.csv")
+    file = F.lit(f"order_batch{delivery}.csv" if delivery else "order_batch.csv")
     stamped = stamp_orders(raw_orders(spark, sf_dir, delivery), as_of, file, with_time=False)
     return conform(stamped, subset_contract(T.StructType(ORDER_TYPES.fields + ORDER_LINEAGE.fields),
                                             stamped.columns))
@@ -167,7 +167,7 @@ def raw_lines(spark: SparkSession, sf_dir: str, delivery: int | None = None) ->
 
 
 def landed_lines(spark: SparkSession, sf_dir: str, delivery: int | None = None) -> DataFrame:
-    file = F.lit(f"lines_day{delivery}.csv" if delivery else "lines.csv")
+    file = F.lit(f"line_batch{delivery}.csv" if delivery else "line_batch.csv")
     return stamp_lines(raw_lines(spark, sf_dir, delivery), file)
 
 
