@@ -52,7 +52,17 @@ class OrderLake(Lake):
     def ingest(self, files: str | list[str], as_of: str) -> None:
         """Land raw rows as they are; files delivered again replace their former orders."""
         raw = standardize.stamp_orders(read_text_columns(self.spark, files, ORDER_RAW), as_of, file_uri())
-        self.upsert(self.bronze, raw, ORDER_BRONZE_KEY, as_of)
+        if self._holds_files_of(raw):
+            self.upsert(self.bronze, raw, ORDER_BRONZE_KEY, as_of)
+        else:
+            self.append(self.bronze, raw, as_of)
+
+    def _holds_files_of(self, raw: DataFrame) -> bool:
+        """Whether a file of the delivery was landed before; reads one column and spares new files the upsert."""
+        if not self.bronze.exists():
+            return False
+        names = self.stage.keep(raw.select("source_filename").distinct(), "file_names")
+        return not self.bronze.read().select("source_filename").join(names, "source_filename", "left_semi").isEmpty()
 
     def delivered(self, as_of: str) -> DataFrame:
         """Typed rows of the delivery stamped ``as_of``; only its load-date partition is read."""
