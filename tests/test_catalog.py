@@ -10,7 +10,7 @@ import compare
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables not present")
 
-QUERIES, SQL = entry_file.queries(), entry_file.oracle_sql()
+QUERIES, SQL = entry_file.QUERIES, entry_file.ORACLE_SQL
 
 
 def test_every_sql_text_has_its_query():
