@@ -11,6 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from orderlake.sources.tables import shared_folder
 
@@ -129,14 +130,15 @@ def signed(values: np.ndarray) -> np.ndarray:
 
 
 def per_text(rows: DataFrame, text: str, make: Callable[[], Callable[[list], list[pa.Array]]],
-             added: str) -> DataFrame:
-    """Replace one column by columns worked out from its values, a slice of rows at a time.
+             added: str, keep_text: bool = False) -> DataFrame:
+    """Add columns worked out from the values of one column, a slice of rows at a time.
 
     ``make`` runs once per task and returns the function from a list of values to
     the added columns (``added`` is their DDL).  All other columns pass through
-    as Arrow arrays, so NULL ids stay exact.
+    as Arrow arrays, so NULL ids stay exact; the text itself only if asked for.
     """
-    kept = [c for c in rows.columns if c != text]
+    kept = [c for c in rows.columns if c != text or keep_text]
+    read = kept if keep_text else [*kept, text]
     fields = [rows.schema[c] for c in kept] + T._parse_datatype_string(added).fields
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -144,8 +146,39 @@ def per_text(rows: DataFrame, text: str, make: Callable[[], Callable[[list], lis
         for batch in batches:
             for start in range(0, batch.num_rows, SLICE):
                 part = batch.slice(start, SLICE)
-                arrays = [part.column(part.schema.get_field_index(c)) for c in kept]
-                arrays += work(part.column(part.schema.get_field_index(text)).to_pylist())
+                arrays = [part.column(read.index(c)) for c in kept]
+                arrays += work(part.column(read.index(text)).to_pylist())
                 yield pa.RecordBatch.from_arrays(arrays, [f.name for f in fields])
 
-    return rows.select(*kept, text).mapInArrow(run, T.StructType(fields))
+    return rows.select(*read).mapInArrow(run, T.StructType(fields))
+
+
+def per_partition(rows: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], dict[str, list]],
+                  schema: str) -> DataFrame:
+    """A few result rows, given as lists of columns, from all batches of a partition."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield pa.RecordBatch.from_pydict(work(batches), schema=to_arrow_schema(fields))
+
+    fields = T._parse_datatype_string(schema)
+    return rows.mapInArrow(run, fields)
+
+
+def summed_blocks(rows: DataFrame, kind: str) -> DataFrame:
+    """Sum binary number vectors by ``block``: partial sums of partitions become totals."""
+    def total(blocks: pa.Table) -> pa.Table:
+        out = None
+        for value in blocks.column("value"):
+            numbers = np.frombuffer(value.as_py(), kind)
+            out = numbers.copy() if out is None else out + numbers
+        return pa.table({"block": blocks.column("block").slice(0, 1), "value": [out.tobytes()]},
+                        schema=pa.schema([("block", pa.int32()), ("value", pa.binary())]))
+
+    return rows.groupBy("block").applyInArrow(total, "block int, value binary")
+
+
+def fresh(rows: DataFrame, name: str) -> str:
+    """A column name that the rows don't have."""
+    taken = {c.lower() for c in rows.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderlake.llm import packing, piece_viterbi, url_filter
+from orderlake.llm import packing, piece_viterbi, quality, toxicity, url_filter
 from orderlake.llm.corpus import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,12 +18,24 @@ def query(make: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSess
     return make
 
 
+@query
+def op2_toxicity(spark, sf_dir):
+    """Toxicity score of every text."""
+    return toxicity.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op3_url_filter(spark, sf_dir):
     """Verdict of every page's url."""
     return url_filter.judge_urls(table(spark, sf_dir, "pages"))
 
 
+@query
+def op5_quality(spark, sf_dir):
+    """Quality score of every text."""
+    return quality.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op8_piece_coding(spark, sf_dir):
     """Digest of encoding and decoding every text."""
