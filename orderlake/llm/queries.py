@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderlake.llm import packing, piece_viterbi, quality, toxicity, url_filter
+from orderlake.llm import minmax_dedup, packing, piece_viterbi, quality, toxicity, url_filter
 from orderlake.llm.corpus import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,6 +48,12 @@ def op9_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+@query
+def op10_minmax_dedup(spark, sf_dir):
+    """Near-duplicate classes of all documents: three-word shingles, similarity 0.85."""
+    return minmax_dedup.near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=85)
+
+
 _BOUNDED = "'(^|[^a-z0-9])' || term || '($|[^a-z0-9])'"
 
 ORACLE_SQL["op3_url_filter"] = f"""
