@@ -16,8 +16,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from orderlake.sources.tables import shared_folder
 
 MASK = 0xFFFFFFFFFFFFFFFF
-#: Ids up to this number may be broadcast (32 MB of longs); more are joined by shuffle.
-BROADCAST_ROWS = 4_000_000
+#: Ids up to this number may be broadcast (8 MB of longs); more are joined by shuffle.
+BROADCAST_ROWS = 1_000_000
 #: Rows whose texts are Python objects at the same time.
 SLICE = 500
 #: Words a Python worker remembers; further ones are worked out each time they occur.

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderlake.llm import minmax_dedup, packing, piece_viterbi, quality, toxicity, url_filter
+from orderlake.llm import minmax_dedup, packing, piece_viterbi, quality, substring_dedup, toxicity, url_filter
 from orderlake.llm.corpus import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,6 +36,12 @@ def op5_quality(spark, sf_dir):
     return quality.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op6_substring_dedup(spark, sf_dir):
+    """Word spans of all documents that repeat a passage which another document keeps."""
+    return substring_dedup.removals(table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_piece_coding(spark, sf_dir):
     """Digest of encoding and decoding every text."""
