@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderlake.llm import minmax_dedup, packing, piece_viterbi, quality, substring_dedup, toxicity, url_filter
+from orderlake.llm import (minmax_dedup, packing, permutation_index, piece_viterbi, quality,
+                           substring_dedup, toxicity, url_filter)
 from orderlake.llm.corpus import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +31,12 @@ def op3_url_filter(spark, sf_dir):
     return url_filter.judge_urls(table(spark, sf_dir, "pages"))
 
 
+@query
+def op4_permutation_index(spark, sf_dir):
+    """The 20 nearest of every twentieth vector, against all vectors."""
+    return permutation_index.nearest(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op5_quality(spark, sf_dir):
     """Quality score of every text."""
