@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from orderlake.llm import (minmax_dedup, packing, permutation_index, piece_viterbi, quality,
-                           substring_dedup, toxicity, url_filter)
+                           substring_dedup, toxicity, url_filter, vector_dedup)
 from orderlake.llm.corpus import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,6 +49,12 @@ def op6_substring_dedup(spark, sf_dir):
     return substring_dedup.removals(table(spark, sf_dir, "documents"))
 
 
+@query
+def op7_vector_dedup(spark, sf_dir):
+    """Links, component and decision of every vector at cosine 0.98 within its label."""
+    return vector_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op8_piece_coding(spark, sf_dir):
     """Digest of encoding and decoding every text."""
