@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderlake.llm import (minmax_dedup, packing, permutation_index, piece_viterbi, quality,
+from orderlake.llm import (lm_scoring, minmax_dedup, packing, permutation_index, piece_viterbi, quality,
                            substring_dedup, toxicity, url_filter, vector_dedup)
 from orderlake.llm.corpus import table
 
@@ -19,6 +19,12 @@ def query(make: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSess
     return make
 
 
+@query
+def op1_lm_scoring(spark, sf_dir):
+    """Base and model scores of every text."""
+    return lm_scoring.scores(table(spark, sf_dir, "documents"))
+
+
 @query
 def op2_toxicity(spark, sf_dir):
     """Toxicity score of every text."""
