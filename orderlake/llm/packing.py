@@ -13,6 +13,7 @@ An empty table gives no piece.
 from __future__ import annotations
 
 import re
+import unicodedata
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -34,6 +35,12 @@ TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 SEPARATORS = re.compile("[\x1c-\x1f]")
 
 
+def stays_letter(character: str) -> bool:
+    """True if normalizing and lower-casing leave one letter, so that no mark joins what follows."""
+    plain = unicodedata.normalize("NFC", character).lower()
+    return len(plain) == 1 and plain.isalpha()
+
+
 class WordIds(dict):
     """Ids of one run of non-space characters, as bytes; frequent runs are encoded once per worker."""
 
@@ -42,7 +49,7 @@ class WordIds(dict):
         self.encode, self.kind = encode, kind
 
     def __missing__(self, run: str) -> bytes:
-        if run[-1] in ",." and len(run) > 1 and run[-2].isalpha():
+        if run[-1] in ",." and len(run) > 1 and stays_letter(run[-2]):
             ids = self[run[:-1]] + self[run[-1]]
         elif run.isascii() and run != run.lower() and run.isalpha():
             ids = self[run.lower()]
