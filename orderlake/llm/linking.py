@@ -59,7 +59,7 @@ def compared(pairs: DataFrame, sets: DataFrame, shelf: Shelf, name: str) -> Data
 def similar_links(buckets: DataFrame, sets_of: SetsOf, percent: int, shelf: Shelf) -> DataFrame:
     """Links ``a, b`` (a > b) whose components are those of all similar pairs sharing a bucket.
 
-    ``buckets``: kept rows ``bucket, id, n_items``, each pair of bucket and id once.
+    ``buckets``: kept rows ``bucket, id``, each pair of bucket and id once.
     ``sets_of(ids, count)`` gives ``id, items``, each set ascending without repeats.
     Similar: 100 * intersection >= percent * union.
     """
@@ -82,9 +82,9 @@ def similar_links(buckets: DataFrame, sets_of: SetsOf, percent: int, shelf: Shel
     apart = first.select("a", "b", (1 - F.col("shared") / F.col("total")).alias("apart"))
     of_id = tree.select(F.col("node").alias("id"), F.col("component").alias("of_id"))
     of_pivot = tree.select(F.col("node").alias("pivot"), F.col("component").alias("of_pivot"))
-    placed = (star.select("bucket", "id", "pivot", "n_items", *pair).join(apart, ["a", "b"])
+    placed = (star.select("bucket", "id", "pivot", *pair).join(apart, ["a", "b"])
               .join(of_id, "id", "left").join(of_pivot, "pivot", "left")
-              .select("bucket", "id", "n_items", "apart", F.coalesce("of_id", "id").alias("component"),
+              .select("bucket", "id", "apart", F.coalesce("of_id", "id").alias("component"),
                       (F.coalesce("of_id", "id") != F.coalesce("of_pivot", "pivot")).alias("lone")))
     placed = shelf.keep(placed, "placed")
     lone_buckets = shelf.keep(placed.where("lone").select("bucket").distinct(), "lone-buckets")
@@ -93,8 +93,8 @@ def similar_links(buckets: DataFrame, sets_of: SetsOf, percent: int, shelf: Shel
     crowd = shelf.keep(join_small(placed, lone_buckets, "bucket", "left_semi", lone_buckets.count()), "lone-crowd")
     ids = shelf.keep(crowd.select("id").distinct(), "lone-ids")
     bound = shelf.keep(shareable(join_small(sets, ids, "id", "left_semi", ids.count())), "shareable")
-    able = bound.where(100 * F.col("most") >= percent * F.col("size")).select("id", "most")
-    able = sketched(sets.join(shelf.keep(able, "able-ids"), "id").select("id", "most", "items"))
+    able = bound.where(100 * F.col("most") >= percent * F.col("size")).select("id", "most", "size")
+    able = sketched(sets.join(shelf.keep(able, "able-ids"), "id").select("id", "most", "size", "items"))
     homes = crowd.groupBy("id").agg(F.array_sort(F.collect_list("bucket")).alias("homes"))
     crowd = shelf.keep(crowd.join(able, "id").join(homes, "id"), "able")
     x, y = crowd.where("lone").alias("x"), crowd.alias("y")
@@ -104,7 +104,7 @@ def similar_links(buckets: DataFrame, sets_of: SetsOf, percent: int, shelf: Shel
     # a pair is taken in the first of the buckets it shares
     met = (x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.component") != F.col("y.component"))
                   & (F.abs(F.col("x.apart") - F.col("y.apart")) <= reach)
-                  & (100 * most >= percent * (F.col("x.n_items") + F.col("y.n_items") - most))
+                  & (100 * most >= percent * (F.col("x.size") + F.col("y.size") - most))
                   & (~F.col("y.lone") | (F.col("x.id") > F.col("y.id")))
                   & (apart_bits <= F.lit(most_apart(percent)))
                   & (F.array_min(F.array_intersect("x.homes", "y.homes")) == F.col("x.bucket")))
@@ -130,14 +130,14 @@ def most_apart(percent: int) -> int:
 
 
 def sketched(rows: DataFrame) -> DataFrame:
-    """``id, most`` and a one-bit min-max sketch of the items in ``WORDS`` longs."""
+    """``id, most, size`` and a one-bit min-max sketch of the items in ``WORDS`` longs."""
     factors = np.random.default_rng(16).integers(1 << 62, size=(32 * WORDS, 1), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
     names = [f"s{k}" for k in range(WORDS)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = np.zeros((batch.num_rows, WORDS), np.int64)
-            items = batch.column(2)
+            items = batch.column(3)
             for i in range(batch.num_rows):
                 own = items[i].values.to_numpy().view(np.uint64)
                 low = np.full(len(factors), np.iinfo(np.uint64).max, np.uint64)
@@ -148,7 +148,7 @@ def sketched(rows: DataFrame) -> DataFrame:
                     np.maximum(high, values.max(axis=1), out=high)
                 bits = mixed(np.concatenate([low, high])) & np.uint64(1)
                 out[i] = np.packbits(bits.astype(np.uint8)).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *map(pa.array, out.T.copy())],
-                                             ["id", "most", *names])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *map(pa.array, out.T.copy())],
+                                             ["id", "most", "size", *names])
 
-    return rows.mapInArrow(run, "id bigint, most bigint, " + ", ".join(f"{n} bigint" for n in names))
+    return rows.mapInArrow(run, "id bigint, most bigint, size bigint, " + ", ".join(f"{n} bigint" for n in names))

@@ -87,8 +87,8 @@ def near_duplicates(documents: DataFrame, size: int = SHINGLE, percent: int = PE
     able = marks.where("same IS NOT NULL AND doc_id IS NOT NULL")
     classes = shelf.keep(able.groupBy("same").agg(F.min("doc_id").alias("id")), "classes")
     firsts = (able.join(classes, "same").where("doc_id = id").dropDuplicates(["same"])
-              .select("id", F.col("n_shingles").alias("n_items"), F.explode("bands").alias("bucket")))
-    buckets = shelf.keep(firsts.select("bucket", "id", "n_items").dropDuplicates(["bucket", "id"]), "buckets")
+              .select("id", F.explode("bands").alias("bucket")))
+    buckets = shelf.keep(firsts.select("bucket", "id").dropDuplicates(["bucket", "id"]), "buckets")
 
     def sets_of(ids: DataFrame, count: int) -> DataFrame:
         def make():

@@ -164,9 +164,8 @@ def removals(documents: DataFrame) -> DataFrame:
     lines = marks.select("doc_id", F.inline("lines"))
     classes = shelf.keep(lines.groupBy(F.col("piece").alias("id"))
                          .agg(F.min("doc_id").alias("lowest"), F.max("doc_id").alias("highest")), "classes")
-    distinct = lines.select(F.col("piece").alias("id"), (F.col("stop") - F.col("start") - (SHINGLE - 1)).alias("n_items"),
-                            "bands").dropDuplicates(["id"])
-    buckets = shelf.keep(distinct.select("id", "n_items", F.explode("bands").alias("bucket"))
+    distinct = lines.select(F.col("piece").alias("id"), "bands").dropDuplicates(["id"])
+    buckets = shelf.keep(distinct.select("id", F.explode("bands").alias("bucket"))
                          .dropDuplicates(["bucket", "id"]), "buckets")
 
     def sets_of(ids: DataFrame, count: int) -> DataFrame:
