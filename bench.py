@@ -52,20 +52,20 @@ def deliver(spark, folder: str) -> dict[str, str]:
 
 def run_lines(spark, files, root) -> tuple[dict, LineLake]:
     times: dict[str, float] = {}
-    lake = LineLake(spark, root, day_partitions=False)
+    lake = LineLake(spark, root)
     for day, as_of in ((1, DAY1), (2, DAY2)):
         clock(times, "lines_bronze", lambda: lake.ingest(files[f"lines{day}"], as_of))
         good = clock(times, "lines_quality_quarantine", lambda: lake.check(as_of))
         clock(times, "lines_scd2_merge", lambda: lake.merge(good, as_of))
     clock(times, "lines_gold", lambda: lake.report(DAY2))
-    times["lines_total"] = sum(times.values())
     clock(times, "lines_skew_audit", lambda: [report.collect() for report in lake.skew()])
+    times["lines_total"] = sum(times.values())
     return times, lake
 
 
 def run_orders(spark, files, root) -> dict:
     times: dict[str, float] = {}
-    single = OrderLake(spark, f"{root}/single", partition_silver=False)
+    single = OrderLake(spark, f"{root}/single")
     clock(times, "orders_single_batch_total", lambda: single.run(files["orders1"], DAY1))
     lake = OrderLake(spark, f"{root}/history", keep_history=True)
 

@@ -6,8 +6,9 @@ from typing import NamedTuple
 
 from pyspark.sql import types as T
 
-PRICE = T.DecimalType(12, 2)
-MONEY = T.DecimalType(20, 2)
+# wide enough for any delivered price; only products and sums are rounded to cents
+PRICE = T.DecimalType(20, 6)
+MONEY = T.DecimalType(28, 2)
 
 # --- order grain: one row per order ---------------------------------------
 
@@ -78,6 +79,9 @@ ORDER_SUMMARY = T.StructType([
     T.StructField("status", T.StringType()),
 ])
 
+#: Partition column of tables kept by order date: a month, so that folders stay few and large.
+ORDER_MONTH = T.StructField("order_month", T.StringType())
+
 # --- fixed values: names and texts that readers of the tables rely on ------
 
 STATUS_RANK = {"CANCELLED": 0, "PLACED": 1, "PROCESSING": 2, "SHIPPED": 3, "DELIVERED": 4}

@@ -58,6 +58,11 @@ def label_of(name: str, ranks: Mapping[str, int], otherwise: str) -> Column:
     return label
 
 
+def month_of(name: str) -> Column:
+    """The month of a date as ``yyyy-MM``; NULL for NULL."""
+    return F.date_format(F.col(name), "yyyy-MM")
+
+
 def moment(text: str) -> Column:
     """A timestamp literal in the session time zone, e.g. ``2026-06-02 00:00:00``."""
     return F.lit(text).cast("timestamp")

@@ -13,28 +13,19 @@ from pyspark.sql import functions as F
 
 from orderlake.functions import all_present, not_positive_or_missing
 
-HEAVY_GROUPS = 1000
 
-
-def mark_rows(rows: DataFrame, groups: DataFrame, keys: list[str], weight: str, mark: str) -> DataFrame:
+def mark_rows(rows: DataFrame, groups: DataFrame, keys: list[str], mark: str) -> DataFrame:
     """Add the boolean ``mark`` that ``groups`` holds per key; rows of other keys get false.
 
-    ``groups`` has one row per key, ``weight`` being its number of rows.  The
-    heaviest groups, at most ``HEAVY_GROUPS`` rows and so safe to broadcast,
-    settle their rows on the spot; any other group is a small part of the whole.
-    Rows that are settled, or can match nothing because a key is NULL, are then
-    routed through the shuffled join by the number of the task they come from,
-    which spreads them evenly and stays the same when a task is repeated.
+    ``groups`` has one row per key, so adaptive execution can split the rows of
+    any number of heavy keys, or send the groups to the rows where they are
+    small.  Rows with a NULL key match nothing; they are routed by the number of
+    the task they come from, which spreads them and is the same on every attempt.
     """
-    heavy = (groups.orderBy(F.col(weight).desc()).limit(HEAVY_GROUPS)
-             .select(*keys, F.col(mark).alias("heavy_mark")))
-    settled = rows.join(F.broadcast(heavy), keys, "left")
-    is_settled = F.col("heavy_mark").isNotNull() | ~all_present(keys)
-    routed = settled.withColumn("route", F.when(is_settled, F.spark_partition_id()).otherwise(F.hash(*keys)))
-    others = (groups.where(F.col(mark))
-              .select(*keys, F.hash(*keys).alias("route"), F.lit(True).alias("other_mark")))
-    return (routed.join(others, [*keys, "route"], "left")
-            .select(*rows.columns, F.coalesce("heavy_mark", "other_mark", F.lit(False)).alias(mark)))
+    routed = rows.withColumn("route", F.when(all_present(keys), F.lit(-1)).otherwise(F.spark_partition_id()))
+    marked = groups.where(F.col(mark)).select(*keys, F.lit(-1).alias("route"), F.lit(True).alias("group_mark"))
+    return (routed.join(marked, [*keys, "route"], "left")
+            .select(*rows.columns, F.coalesce("group_mark", F.lit(False)).alias(mark)))
 
 
 # --- conflicts: one key, several contents ----------------------------------------
@@ -69,7 +60,7 @@ def flag_orders(rows: DataFrame, key: str, signature: list[str],
     if repeated is None:
         repeated = repeated_key_stats(rows, key, signature)
     stats = repeated.withColumn("is_conflicting", F.col("distinct_row_count") > 1)
-    return (mark_rows(rows, stats, [key], "dup_count", "is_conflicting")
+    return (mark_rows(rows, stats, [key], "is_conflicting")
             .withColumns({
                 "is_invalid_quantity": not_positive_or_missing("quantity"),
                 "is_invalid_date": F.col("order_date").isNull(),
@@ -113,6 +104,6 @@ def flag_copies(rows: DataFrame, signature: list[str], repeated: DataFrame | Non
     if repeated is None:
         repeated = repeated_signatures(rows, signature)
     groups = repeated.withColumn("is_repeated", F.lit(True))
-    return (mark_rows(rows, groups, signature, "copies", "is_repeated")
+    return (mark_rows(rows, groups, signature, "is_repeated")
             .withColumn("has_one_copy", all_present(signature) & ~F.col("is_repeated"))
             .drop("is_repeated"))

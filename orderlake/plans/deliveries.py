@@ -17,6 +17,8 @@ from orderlake.contracts import (LINE_TYPES, NEW_ORDER, ORDER_LINEAGE, ORDER_TYP
                                  UNCHANGED)
 from orderlake.operators.standardize import conform, stamp_lines, stamp_orders, subset_contract, trim_text
 
+TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
+          "conversations").split()
 FIRST_DAY = "2026-06-01 00:00:00"
 SECOND_DAY = "2026-06-02 00:00:00"
 
@@ -48,6 +50,13 @@ def _variants(**extra: Column) -> Column:
         F.lit("base"), *[F.when(condition, F.lit(name)) for name, condition in extra.items()])))
 
 
+def _price_text(name: str, key: Column) -> Column:
+    """A price in cents, some with a third decimal, some above ten thousand million."""
+    cents = F.col(name).cast("decimal(12,2)").cast("string")
+    return F.when(key % 41 == 12, F.concat(F.lit("123456"), cents)).when(key % 43 == 13, F.concat(cents, F.lit("5"))) \
+        .otherwise(cents)
+
+
 # --- order grain ---------------------------------------------------------------
 
 def raw_orders(spark: SparkSession, sf_dir: str, delivery: int | None = None,
@@ -76,8 +85,7 @@ def raw_orders(spark: SparkSession, sf_dir: str, delivery: int | None = None,
         F.concat(F.lit("P"), 1000 + (k + shift) % 20).alias("product_id"),
         F.when(k % 39 == 3, None).when(k % 39 == 16, "0").when(k % 39 == 29, "-1")
         .otherwise((k % 5 + 1).cast("string")).alias("quantity"),
-        F.when(k % 19 == 7, None).otherwise(F.col("o_totalprice").cast("decimal(12,2)").cast("string"))
-        .alias("unit_price"),
+        F.when(k % 19 != 7, _price_text("o_totalprice", k)).alias("unit_price"),
         F.when(k % 7 == 0, F.concat(F.lit(" "), F.upper(status), F.lit(" ")))
         .when(k % 3 == shout_on, F.upper(status)).otherwise(status).alias("status"),
         F.when(k % 29 == 9, None).otherwise(F.get(payments, (k % 5).cast("int"))).alias("payment_method"),
@@ -108,13 +116,12 @@ def manifest(first: DataFrame, second: DataFrame) -> DataFrame:
 # --- line grain ----------------------------------------------------------------
 
 def _order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per order and line number: repeated numbers are summed into one line.
+    """One row per order, line number and part, which make up the line key of the batches.
 
-    The grouping is map-side combined, so an order with very many rows shrinks
-    to its line numbers before anything is shuffled.
+    Only rows that agree in all three (a few in ten thousand) are folded into one.
     """
-    return (table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber")
-            .agg(F.min("l_partkey").alias("l_partkey"), F.sum("l_quantity").alias("l_quantity"),
+    return (table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber", "l_partkey")
+            .agg(F.sum("l_quantity").alias("l_quantity"),
                  F.max("l_extendedprice").alias("l_extendedprice"),
                  F.min("l_returnflag").alias("l_returnflag"), F.min("l_linestatus").alias("l_linestatus")))
 
@@ -123,7 +130,7 @@ def raw_lines(spark: SparkSession, sf_dir: str, delivery: int | None = None) ->
     """Line rows as text.
 
     The undivided delivery has every line item as it is; the two batches have
-    one row per order and line number, so that their keys are unique.
+    line numbers made of line and part, so that their keys are unique.
     """
     lines = table(spark, sf_dir, "lineitem") if delivery is None else _order_lines(spark, sf_dir)
     orders = _batch(table(spark, sf_dir, "orders"), delivery)
@@ -139,7 +146,8 @@ def raw_lines(spark: SparkSession, sf_dir: str, delivery: int | None = None) ->
                     _variants(copy=F.col("l_partkey") % 59 == 11).alias("variant")))
 
     k, p, n = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_linenumber")
-    seq = n + F.when(F.col("variant") == "copy", 100).otherwise(0)
+    is_copy = F.when(F.col("variant") == "copy", 1).otherwise(0)
+    seq = n + 100 * is_copy if delivery is None else p % 100_000_000 * 20 + n * 2 + is_copy
     flag, line = F.col("l_returnflag"), F.col("l_linestatus")
     stages = ["PLACED", "PROCESSING", "SHIPPED", "DELIVERED"]
     stage = (F.when((line == "O") & (flag == "N"), 0).when((line == "O") & (flag == "R"), 1)
@@ -154,8 +162,7 @@ def raw_lines(spark: SparkSession, sf_dir: str, delivery: int | None = None) ->
         F.when(p % 83 != 3, p.cast("string")).alias("product_id"),
         F.when(p % 79 == 4, "0").when(p % 79 == 5, None)
         .otherwise(F.concat(F.lit(" "), F.col("l_quantity").cast("int"))).alias("quantity"),
-        F.when(p % 73 == 6, "-1.00").otherwise(F.col("l_extendedprice").cast("decimal(12,2)").cast("string"))
-        .alias("unit_price"),
+        F.when(p % 73 == 6, "-1.00").otherwise(_price_text("l_extendedprice", p)).alias("unit_price"),
         F.when(k % 71 != 7, F.col("r_name")).alias("region"),
         F.when(p % 67 == 8, "RETURNED").when(p % 67 == 9, "shipped")
         .otherwise(F.concat(status, F.lit(" "))).alias("status"),

@@ -63,15 +63,24 @@ class Lake:
         return row_count
 
     def write_batch(self, table: LakeTable, rows: DataFrame, mine: Column, as_of: str) -> None:
-        """Add a batch's rows; when the batch ran before, its former rows (``mine``) make way."""
+        """Add a batch's rows; when the batch ran before, its former rows (``mine``) make way.
+
+        The table is partitioned by load date, so only the partitions of the
+        batch are read and replaced.  A batch that brings no row to a load date
+        any more leaves that partition as it is.
+        """
         if not table.exists():
             if not rows.isEmpty():
                 self.append(table, rows, as_of)
-        elif table.read().where(mine).isEmpty():
-            self.append(table, rows, as_of)
         else:
-            others = table.read().where(~F.coalesce(mine, F.lit(False)))
-            self.publish(table, others.unionByName(rows, allowMissingColumns=True), as_of, "replace batch")
+            partition = table.partition_by[0]
+            days = values_of(rows.select(partition), partition)
+            held = table.read().where(in_partitions(partition, days))
+            if held.where(mine).isEmpty():
+                self.append(table, rows, as_of)
+                return
+            others = held.where(~F.coalesce(mine, F.lit(False)))
+            self.replace_partitions(table, others.unionByName(rows, allowMissingColumns=True), as_of, "replace batch")
 
     # --- upsert ---------------------------------------------------------------
 
@@ -79,9 +88,10 @@ class Lake:
         """Replace the key groups that ``source`` brings; adds only, where it brings none the table has.
 
         A first pass over key and partition columns finds the partitions that
-        lose or gain rows, and only those are rewritten.  Where a partition would
-        lose its last row, which a partition-wise rewrite cannot express, the
-        whole table is written anew.
+        lose or gain rows, and only those are rewritten.  Folders of partitions
+        that lose their last row are deleted after that; a run that stops in
+        between is completed by running it again.  Bronze sources may repeat a
+        key; where keys have to be unique, the caller checks before.
         """
         if not table.exists():
             self.append(table, source, as_of)
@@ -101,10 +111,8 @@ class Lake:
         before = rows_per(part, partition)
         emptied = [value for value, count in leaving.items()
                    if count == before[value] and value not in arriving]
-        if emptied:
-            self.publish(table, merge.replace_key_groups(stored, source, keys), as_of, "upsert")
-        else:
-            self.replace_partitions(table, merge.replace_key_groups(part, source, keys), as_of, "upsert")
+        self.replace_partitions(table, merge.replace_key_groups(part, source, keys), as_of, "upsert")
+        table.drop_partitions(emptied)
 
     # --- history --------------------------------------------------------------
 
@@ -117,10 +125,10 @@ class Lake:
         row is added are then rewritten; closed versions stay in their
         partition, so none can become empty and be missed.
         """
+        batch = merge.unique_or_fail(batch, keys)
         if not table.exists():
             self.append(table, merge.open_versions(batch), as_of)
             return
-        batch = merge.unique_or_fail(batch, keys)
         history = table.read()
         carry = table.partition_by[:1]
         matches = self.stage.keep(merge.match_versions(history, batch, keys, tracked, carry), f"{table.name}_matches")

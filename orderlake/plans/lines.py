@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderlake.contracts import (LINE_BRONZE_KEY, LINE_KEY, LINE_RAW, LINE_RULES, LINE_SIGNATURE,
-                                 LINE_TYPES, ORDER_SUMMARY, TRACKED, VERSION)
-from orderlake.functions import moment
+                                 LINE_TYPES, ORDER_MONTH, ORDER_SUMMARY, TRACKED, VERSION)
+from orderlake.functions import moment, month_of
 from orderlake.operators import audit, duplicates, gold, merge, quality, skew, standardize
 from orderlake.plans.lake import Lake, in_partitions, values_of
 from orderlake.sources.raw import file_name, read_text_columns
@@ -16,26 +16,29 @@ from orderlake.sources.tables import Stage
 
 RAW = T.StructType([T.StructField(name, T.StringType()) for name in [*LINE_RAW, "_source_file"]]
                    + [T.StructField("_loaded_at", T.TimestampType())])
-SILVER = T.StructType(LINE_TYPES.fields + VERSION.fields)
+SILVER = T.StructType(LINE_TYPES.fields + VERSION.fields + [ORDER_MONTH])
+SUMMARY = T.StructType(ORDER_SUMMARY.fields + [ORDER_MONTH])
 QUARANTINE = T.StructType(LINE_TYPES.fields + [
     T.StructField("_failed_rules", T.ArrayType(T.StringType())),
     T.StructField("_quarantined_at", T.TimestampType())])
 
 
 class LineLake(Lake):
-    """One run per delivered file set.  ``day_partitions=False`` suits tables too small to split by date."""
+    """One run per delivered file set.
 
-    def __init__(self, spark: SparkSession, root: str, day_partitions: bool = True, rules=None):
+    Bronze and quarantine are kept by load date, silver and order summary by order month.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, rules=None):
         super().__init__(spark, root)
         self.rules = rules or LINE_RULES
         self.load_days: dict[str, list] = {}
-        by_day = ("order_date",) if day_partitions else ()
         self.bronze = self.table("bronze/lines", partition_by=("ingest_date",), schema=RAW)
-        self.quarantine = self.table("quarantine/lines", partition_by=by_day, schema=QUARANTINE)
-        self.silver = self.table("silver/lines", partition_by=by_day, schema=SILVER,
+        self.quarantine = self.table("quarantine/lines", partition_by=("ingest_date",), schema=QUARANTINE)
+        self.silver = self.table("silver/lines", partition_by=("order_month",), schema=SILVER,
                                  cluster_by=("order_id", "region", "line_item_seq", "valid_from"))
-        self.order_summary = self.table("gold/order_summary", partition_by=by_day,
-                                        cluster_by=("order_id", "customer_id", "region"), schema=ORDER_SUMMARY)
+        self.order_summary = self.table("gold/order_summary", partition_by=("order_month",),
+                                        cluster_by=("order_id", "customer_id", "region"), schema=SUMMARY)
         # a handful of rows per day: never split by date, always one ordered set of files
         self.region_daily = self.table("gold/region_daily", cluster_by=("region", "order_date"))
 
@@ -101,7 +104,7 @@ class LineLake(Lake):
         return quality.passed(checked)
 
     def merge(self, good: DataFrame, as_of: str) -> None:
-        self.merge_history(self.silver, good, LINE_KEY, TRACKED, as_of)
+        self.merge_history(self.silver, good.withColumn("order_month", month_of("order_date")), LINE_KEY, TRACKED, as_of)
 
     def refine(self, as_of: str) -> None:
         self.merge(self.check(as_of), as_of)
@@ -110,7 +113,8 @@ class LineLake(Lake):
 
     def report(self, as_of: str) -> None:
         """Rebuild both gold tables; the regional one reads the summary just written, not the lines."""
-        self.publish(self.order_summary, gold.order_summary(self.silver.read()), as_of)
+        summary = gold.order_summary(self.silver.read()).withColumn("order_month", month_of("order_date"))
+        self.publish(self.order_summary, summary, as_of)
         self.publish(self.region_daily, gold.region_daily(self.order_summary.read()), as_of)
 
     # --- checks -------------------------------------------------------------------

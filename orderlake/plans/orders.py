@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderlake.contracts import (ORDER_BRONZE_KEY, ORDER_KEY, ORDER_LINEAGE, ORDER_RAW,
+from orderlake.contracts import (ORDER_BRONZE_KEY, ORDER_KEY, ORDER_LINEAGE, ORDER_MONTH, ORDER_RAW,
                                  ORDER_SIGNATURE, ORDER_TYPES, TRACKED, VERSION)
-from orderlake.functions import moment
+from orderlake.functions import moment, month_of
 from orderlake.operators import audit, duplicates, gold, merge, quality, reconcile, standardize
 from orderlake.plans.lake import Lake
 from orderlake.sources.raw import file_uri, read_text_columns
@@ -18,6 +18,7 @@ RAW = T.StructType([T.StructField(name, T.StringType()) for name in ORDER_RAW] +
 QUARANTINE = T.StructType(TYPED.fields + [
     T.StructField("quarantine_reason", T.StringType()),
     T.StructField("quarantine_at", T.TimestampType())])
+SINGLE = T.StructType(TYPED.fields + [ORDER_MONTH])
 HISTORY = T.StructType(TYPED.fields + VERSION.fields)
 
 
@@ -28,15 +29,14 @@ class OrderLake(Lake):
     status an order went through.
     """
 
-    def __init__(self, spark: SparkSession, root: str, keep_history: bool = False,
-                 partition_silver: bool = True):
+    def __init__(self, spark: SparkSession, root: str, keep_history: bool = False):
         super().__init__(spark, root)
         self.keep_history = keep_history
-        silver_day = "ingest_date" if keep_history else "order_date"
+        silver_by = "ingest_date" if keep_history else "order_month"
         self.bronze = self.table("bronze/orders", partition_by=("ingest_date",), schema=RAW)
         self.quarantine = self.table("quarantine/orders", partition_by=("ingest_date",), schema=QUARANTINE)
-        self.silver = self.table("silver/orders", partition_by=(silver_day,) if partition_silver else (),
-                                 cluster_by=("order_id",), schema=HISTORY if keep_history else TYPED)
+        self.silver = self.table("silver/orders", partition_by=(silver_by,), cluster_by=("order_id",),
+                                 schema=HISTORY if keep_history else SINGLE)
         self.daily_revenue = self.table("gold/daily_revenue")
         self.status_counts = self.table("gold/status_counts")
         self.change_log = self.table("gold/status_change_log")
@@ -83,7 +83,7 @@ class OrderLake(Lake):
         suspects = typed.join(repeated, ORDER_KEY, "left_semi")
         stats = self.stage.keep(
             duplicates.repeated_key_stats(suspects, "order_id", ORDER_SIGNATURE), "repeated_order_stats")
-        return duplicates.flag_orders(typed, "order_id", ORDER_SIGNATURE, stats)
+        return self.stage.keep(duplicates.flag_orders(typed, "order_id", ORDER_SIGNATURE, stats), "flagged_orders")
 
     def refine(self, as_of: str) -> None:
         flagged = self.flagged(as_of)
@@ -93,7 +93,8 @@ class OrderLake(Lake):
         if self.keep_history:
             self.merge_history(self.silver, clean, ORDER_KEY, TRACKED, as_of)
         else:
-            self.upsert(self.silver, merge.unique_or_fail(clean, ORDER_KEY), ORDER_KEY, as_of)
+            monthly = clean.withColumn("order_month", month_of("order_date"))
+            self.upsert(self.silver, merge.unique_or_fail(monthly, ORDER_KEY), ORDER_KEY, as_of)
 
     # --- gold ---------------------------------------------------------------------
 

@@ -6,14 +6,11 @@ from pyspark.sql import SparkSession
 
 
 def lake_session(app: str = "orderlake", master: str | None = None, **settings: str) -> SparkSession:
-    """A session with adaptive execution; cluster sizes stay with the caller.
+    """A session in one time zone; adaptive execution is on by default, cluster sizes stay with the caller.
 
     ``settings`` take underscores for dots, e.g. ``spark_sql_shuffle_partitions="4000"``.
     """
     builder = (SparkSession.builder.appName(app)
-               .config("spark.sql.adaptive.enabled", "true")
-               .config("spark.sql.adaptive.skewJoin.enabled", "true")
-               .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
                .config("spark.sql.session.timeZone", "UTC"))
     if master:
         builder = builder.master(master)

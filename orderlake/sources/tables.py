@@ -2,9 +2,10 @@
 
 A table is a folder of ``snapshot=N`` folders.  A snapshot counts once Spark has
 put its ``_SUCCESS`` marker there, and readers take the newest one that counts,
-so a rewrite never touches the files it reads and a job that dies halfway leaves
-the table as it was.  Batches that only add rows are appended to the newest
-snapshot; batches that only concern some partitions replace just those.
+so a rewrite never touches the files it reads and one that dies halfway leaves the
+table as it was.  Batches that only add rows are appended to the newest snapshot;
+batches that only concern some partitions replace just those.  These two change
+the newest snapshot in place: a job that dies while it commits is to be run again.
 One writer per table at a time is assumed.
 """
 
@@ -24,7 +25,7 @@ def shared_folder(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
+    if spark.sparkContext.master == "local" or spark.sparkContext.master.startswith("local["):
         import tempfile
 
         folder = tempfile.mkdtemp(prefix="orderlake-")
@@ -128,7 +129,8 @@ class LakeTable:
         heavy value apart; a range boundary can then fall inside that value.
         """
         if not self.cluster_by:
-            return rows
+            # one folder's rows go to few tasks, however many there are; large folders are split
+            return rows.hint("rebalance", *self.partition_by) if self.partition_by else rows
         order = [*self.partition_by, *self.cluster_by]
         return rows.repartitionByRange(*order).sortWithinPartitions(*order)
 
@@ -157,3 +159,11 @@ class LakeTable:
         may be computed from this very table.
         """
         return self._write(rows, self.location(), "overwrite", dynamic=True)
+
+    def drop_partitions(self, values: list) -> None:
+        """Delete the folders of these values of the first partition column from the newest snapshot."""
+        column, jvm = self.partition_by[0], self.spark.sparkContext._jvm
+        for value in values:
+            named = "__HIVE_DEFAULT_PARTITION__" if value is None else value
+            folder = jvm.org.apache.hadoop.fs.Path(f"{self.location()}/{column}={named}")
+            folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

@@ -15,7 +15,7 @@ QUERIES, SQL = entry_file.QUERIES, entry_file.ORACLE_SQL
 
 def test_every_sql_text_has_its_query():
     assert set(SQL) <= set(QUERIES)
-    assert set(QUERIES) - set(SQL) == {"table_health"}
+    assert set(QUERIES) == set(SQL)
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
@@ -29,13 +29,6 @@ def test_same_rows_as_sql(spark, name):
     assert compare.type_differences(frame, connection, SQL[name]) == {}
 
 
-def test_table_health_lists_every_file(spark):
-    health = {r.table_name: r for r in QUERIES["table_health"](spark, SF_DIR).collect()}
-    for name, line in health.items():
-        assert line.file_count == 1
-        assert line.size_bytes == os.path.getsize(f"{SF_DIR}/{name}.parquet")
-
-
 def test_entry_returns_the_order_summary(spark):
     frame = entry_file.entry(spark)
     assert frame.columns == ["order_id", "customer_id", "region", "order_date", "line_item_count",

@@ -1,9 +1,12 @@
 """Both pipelines from files to tables, reruns and corrections included."""
 
+import glob
 import os
 from datetime import date, datetime
 from decimal import Decimal
 
+import pytest
+
 from orderlake.contracts import LINE_RAW, ORDER_RAW, PROGRESSED, UNCHANGED, NEW_ORDER
 from orderlake.plans.lines import LineLake
 from orderlake.plans.orders import OrderLake
@@ -79,31 +82,54 @@ def test_upsert_by_partition(spark, tmp_path):
     lake = OrderLake(spark, str(tmp_path / "lake"))
     day = lambda order, date, **more: dict(order_id=order, order_date=date, **more)
     lake.run(order_file(tmp_path / "d1.csv", day("O1", "2026-01-05"), day("O2", "2026-01-05"),
-                        day("O3", "2026-01-06"), day("O4", "2026-01-07")), D1)
+                        day("O3", "2026-02-06"), day("O4", "2026-03-07")), D1)
     first = lake.silver.location()
-    # one order leaves a day that keeps another: three days are rewritten in place
-    lake.run(order_file(tmp_path / "d2.csv", day("O2", "2026-01-08"), day("O3", "2026-01-06", quantity="9")), D2)
+    # one order leaves a month that keeps another: three months are rewritten in place
+    lake.run(order_file(tmp_path / "d2.csv", day("O2", "2026-04-08"), day("O3", "2026-02-06", quantity="9")), D2)
     assert lake.silver.location() == first
     assert values(lake.silver.read(), "order_id", "order_date", "quantity") == [
-        ("O1", date(2026, 1, 5), 2), ("O2", date(2026, 1, 8), 2), ("O3", date(2026, 1, 6), 9), ("O4", date(2026, 1, 7), 2)]
-    # the last order of a day moves: its old row must not stay behind
+        ("O1", date(2026, 1, 5), 2), ("O2", date(2026, 4, 8), 2), ("O3", date(2026, 2, 6), 9), ("O4", date(2026, 3, 7), 2)]
+    # the last order of a month moves: its old row must not stay behind, the other months stay as they are
+    untouched = {p: os.path.getmtime(p) for p in glob.glob(f"{first}/order_month=2026-0[24]/*.parquet")}
     lake.run(order_file(tmp_path / "d3.csv", day("O4", "2026-01-05")), D3)
-    assert lake.silver.location() != first
+    assert lake.silver.location() == first and not os.path.exists(f"{first}/order_month=2026-03")
+    assert untouched and {p: os.path.getmtime(p) for p in untouched} == untouched
     assert values(lake.silver.read(), "order_id", "order_date") == [
-        ("O1", date(2026, 1, 5)), ("O2", date(2026, 1, 8)), ("O3", date(2026, 1, 6)), ("O4", date(2026, 1, 5))]
+        ("O1", date(2026, 1, 5)), ("O2", date(2026, 4, 8)), ("O3", date(2026, 2, 6)), ("O4", date(2026, 1, 5))]
+
+
+def test_repeated_line_key_stops_the_first_run(spark, tmp_path):
+    lake = LineLake(spark, str(tmp_path / "lake"))
+    with pytest.raises(Exception):
+        lake.run(line_file(tmp_path / "d1.csv", {}, dict(status="SHIPPED")), D1)
+    assert not lake.silver.exists()
+
+
+def test_quarantine_is_kept_by_load_date_in_few_files(spark, tmp_path):
+    lake = LineLake(spark, str(tmp_path / "lake"))
+    bad = lambda day: [dict(order_id=str(i), quantity="-1", order_date=f"2026-01-{i % 28 + 1:02d}", ingest_date=day)
+                       for i in range(60)]
+    lake.run(line_file(tmp_path / "d1.csv", *bad("2026-06-01")), D1)
+    first = {p: os.path.getmtime(p) for p in glob.glob(f"{lake.quarantine.location()}/*/*.parquet")}
+    assert 1 <= len(first) <= 2
+    second = line_file(tmp_path / "d2.csv", *bad("2026-06-02"))
+    for _ in range(2):
+        lake.run(second, D2)
+        assert {p: os.path.getmtime(p) for p in first} == first
+        assert lake.quarantine.read().count() == 120
 
 
 DAY1 = [{}, dict(line_item_seq="2", quantity=" 3 "), dict(order_id="2", status="SHIPPED"),
         dict(order_id="3"), dict(order_id="3", line_item_seq="9"), dict(order_id="4", region=None),
-        dict(order_id="5", order_date="2026-01-06")]
+        dict(order_id="5", order_date="2026-03-06")]
 DAY2 = [dict(status="PROCESSING"), dict(line_item_seq="2", quantity=" 3 "), dict(order_id="6", order_date="2026-01-07"),
         dict(order_id="7", quantity="-1")]
 DAY2 = [{**row, "ingest_date": "2026-06-02"} for row in DAY2]
 
 
 def test_line_pipeline(spark, tmp_path):
-    for by_day in (True, False):
-        lake = LineLake(spark, str(tmp_path / f"lake{by_day}"), day_partitions=by_day)
+    for name in ("lake",):
+        lake = LineLake(spark, str(tmp_path / name))
         lake.run(line_file(tmp_path / "d1.csv", *DAY1), D1)
         second = line_file(tmp_path / "d2.csv", *DAY2)
         for _ in range(2):  # the second delivery arrives twice
@@ -136,7 +162,7 @@ def test_history_rewrites_only_the_partitions_that_changed(spark, tmp_path):
     files = {r.path: r.modificationTime for r in _listing(spark, lake)}
     lake.run(line_file(tmp_path / "d2.csv", *DAY2), D2)
     later = {r.path: r.modificationTime for r in _listing(spark, lake)}
-    kept = [p for p in files if "order_date=2026-01-06" in p]
+    kept = [p for p in files if "order_month=2026-03" in p]
     assert kept and all(later[p] == files[p] for p in kept)
     assert not [p for p in files if "order_date=2026-01-05" in p and p in later]
 
