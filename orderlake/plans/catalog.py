@@ -12,6 +12,8 @@ from orderlake.contracts import (LINE_BRONZE_KEY, LINE_KEY, LINE_RULES, LINE_SIG
 from orderlake.operators import (audit, duplicates, gold, layout, merge, quality, reconcile, skew,
                                  standardize)
 from orderlake.plans import deliveries as given
+from orderlake.plans.lines import LineLake
+from orderlake.plans.orders import OrderLake
 from orderlake.sources.runlog import RunLog
 from orderlake.sources.tables import LakeTable, Stage
 
@@ -314,6 +316,68 @@ def order_status_mix(spark, sf_dir):
     return gold.status_mix(history, first_changed.scalar())
 
 
+# --- whole pipelines, from delivered files to tables ---------------------------------
+
+def delivered(spark: SparkSession, rows: DataFrame, path: str) -> str:
+    """A delivery as CSV files with a header, spaces kept."""
+    rows.write.option("header", True).csv(path, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    return path
+
+
+def line_lake(spark: SparkSession, sf_dir: str, again: bool = False) -> LineLake:
+    """Both line batches through the pipeline; ``again`` brings the second one twice."""
+    folder = Stage(spark).folder
+    lake = LineLake(spark, f"{folder}/lake")
+    lake.run(delivered(spark, given.raw_lines(spark, sf_dir, 1), f"{folder}/day1"), DAY1)
+    second = delivered(spark, given.raw_lines(spark, sf_dir, 2), f"{folder}/day2")
+    for _ in range(2 if again else 1):
+        lake.run(second, DAY2)
+    return lake
+
+
+def order_lake(spark: SparkSession, sf_dir: str) -> OrderLake:
+    folder = Stage(spark).folder
+    lake = OrderLake(spark, f"{folder}/lake", keep_history=True)
+    for day, as_of in ((1, DAY1), (2, DAY2)):
+        lake.run(delivered(spark, given.raw_orders(spark, sf_dir, day), f"{folder}/day{day}"), as_of)
+    return lake
+
+
+@query
+def lake_line_history(spark, sf_dir):
+    return line_lake(spark, sf_dir).silver.read().drop("_source_file", "order_month")
+
+
+@query
+def lake_line_history_again(spark, sf_dir):
+    return line_lake(spark, sf_dir, again=True).silver.read().drop("_source_file", "order_month")
+
+
+@query
+def lake_line_quarantine(spark, sf_dir):
+    return rules_as_text(line_lake(spark, sf_dir).quarantine.read()).drop("_source_file")
+
+
+@query
+def lake_order_summary(spark, sf_dir):
+    return line_lake(spark, sf_dir).order_summary.read().drop("order_month")
+
+
+@query
+def lake_region_daily(spark, sf_dir):
+    return line_lake(spark, sf_dir).region_daily.read()
+
+
+@query
+def lake_order_history(spark, sf_dir):
+    return order_lake(spark, sf_dir).silver.read().drop("source_filename", "ingest_at")
+
+
+@query
+def lake_status_change_log(spark, sf_dir):
+    return order_lake(spark, sf_dir).change_log.read().drop("source_filename", "ingest_at")
+
+
 # --- skew and storage ----------------------------------------------------------------
 
 @query
