@@ -68,32 +68,24 @@ def pivot_orders(vectors: np.ndarray, pivots: np.ndarray, prefix: int) -> np.nda
 
 
 class PivotFiles:
-    """Inverted files of one shard."""
+    """Inverted files of one shard: a pivot's file has its place in the order of each row, ``prefix`` if none."""
 
     def __init__(self, orders: np.ndarray, pivots: int):
         rows, self.prefix = orders.shape
-        order = np.argsort(orders.ravel(), kind="stable")
-        self.rows = (order // self.prefix).astype(np.int32)
-        self.places = (order % self.prefix).astype(np.int32)
-        self.bounds = np.searchsorted(orders.ravel()[order], np.arange(pivots + 1))
-        self.size = rows
+        self.places = np.full((pivots, rows), self.prefix, np.int16)
+        self.places[orders, np.arange(rows)[:, None]] = np.arange(self.prefix, dtype=np.int16)
 
     def footrules(self, orders: np.ndarray) -> np.ndarray:
-        """Distance of each query's order to each row's, by walking the queries' files."""
-        prefix = self.prefix
-        out = np.full((len(orders), self.size), prefix * (prefix + 1), np.int32)
-        owner = np.argsort(orders.ravel(), kind="stable")
-        bounds = np.searchsorted(orders.ravel()[owner], np.arange(len(self.bounds)))
-        for pivot in range(len(self.bounds) - 1):
-            asked = owner[bounds[pivot]:bounds[pivot + 1]]
-            rows = self.rows[self.bounds[pivot]:self.bounds[pivot + 1]]
-            places = self.places[self.bounds[pivot]:self.bounds[pivot + 1]]
-            if len(rows):
-                for entry in asked:
-                    query, place = divmod(int(entry), prefix)
-                    # |i - j| replaces the two distances to the end of the prefix
-                    out[query, rows] -= 2 * prefix - 2 * np.maximum(places, place)
-        return out
+        """Distance of each query's order to each row's, from the files of the query's pivots alone.
+
+        A pivot of both counts |i - j|, one of the query alone ``prefix - i``; what
+        the rows' other pivots add is their common total less that of the shared
+        ones.  Together a file adds 2 max(i, j) - i - prefix.
+        """
+        own = np.arange(self.prefix, dtype=np.int16)
+        fixed = self.prefix * (self.prefix + 1) // 2 - self.prefix * self.prefix - int(own.sum())
+        return np.array([fixed + 2 * np.maximum(self.places[order], own[:, None]).sum(axis=0, dtype=np.int32)
+                         for order in orders])
 
 
 def nearest(embeddings: DataFrame, top_k: int = 20, query_modulus: int = 20, reranked: float = RERANKED,
@@ -139,6 +131,9 @@ def nearest(embeddings: DataFrame, top_k: int = 20, query_modulus: int = 20, rer
                     limit = np.partition(near, most - 1)[most - 1]
                     rows_near = np.flatnonzero((near <= limit) & (ids != query_id))
                     scores = vectors[rows_near] @ query
+                    if len(scores) > top_k:  # only what reaches the last place, ties included, is sorted
+                        reached = scores >= np.partition(scores, len(scores) - top_k)[len(scores) - top_k]
+                        rows_near, scores = rows_near[reached], scores[reached]
                     best = np.lexsort((ids[rows_near], -scores))[:top_k]
                     out += [(int(query_id), int(ids[rows_near[b]]), float(scores[b]), shard) for b in best]
         columns = list(zip(*out)) or [()] * 4
