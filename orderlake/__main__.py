@@ -28,6 +28,7 @@ def main() -> None:
     if chosen.pipeline == "lines":
         for report in lake.skew():
             report.show(200, truncate=False)
+        lake.end_run()
     if chosen.manifest:
         for name, result in lake.reconcile(chosen.manifest).items():
             print(name)

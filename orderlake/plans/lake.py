@@ -38,7 +38,7 @@ class Lake:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self.stage = Stage(spark)
+        self.stage = Stage(spark, f"{self.root}/_stage")
         self.log = RunLog(spark, f"{self.root}/run_log")
 
     def tables(self) -> dict[str, LakeTable]:
@@ -148,7 +148,7 @@ class Lake:
     def end_run(self) -> None:
         """Drop what the run wrote aside."""
         self.stage.clear()
-        self.stage = Stage(self.spark)
+        self.stage = Stage(self.spark, f"{self.root}/_stage")
 
     # --- reports --------------------------------------------------------------
 

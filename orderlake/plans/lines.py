@@ -12,7 +12,6 @@ from orderlake.functions import moment, month_of
 from orderlake.operators import audit, duplicates, gold, merge, quality, skew, standardize
 from orderlake.plans.lake import Lake, in_partitions, values_of
 from orderlake.sources.raw import file_name, read_text_columns
-from orderlake.sources.tables import Stage
 
 RAW = T.StructType([T.StructField(name, T.StringType()) for name in [*LINE_RAW, "_source_file"]]
                    + [T.StructField("_loaded_at", T.TimestampType())])
@@ -43,10 +42,12 @@ class LineLake(Lake):
         self.region_daily = self.table("gold/region_daily", cluster_by=("region", "order_date"))
 
     def run(self, files: str | list[str], as_of: str) -> None:
-        self.ingest(files, as_of)
-        self.refine(as_of)
-        self.report(as_of)
-        self.end_run()
+        try:
+            self.ingest(files, as_of)
+            self.refine(as_of)
+            self.report(as_of)
+        finally:
+            self.end_run()
 
     # --- bronze -----------------------------------------------------------------
 
@@ -120,8 +121,8 @@ class LineLake(Lake):
     # --- checks -------------------------------------------------------------------
 
     def skew(self, columns: list[str] | None = None, top_n: int = 10) -> tuple[DataFrame, DataFrame]:
-        """Statistics and heaviest keys per column of the line history."""
-        counts = Stage(self.spark).keep(skew.value_counts(self.silver.read(), columns), "value_counts")
+        """Statistics and heaviest keys per column of the line history; readable until ``end_run``."""
+        counts = self.stage.keep(skew.value_counts(self.silver.read(), columns), "value_counts")
         return skew.skew_stats(counts), skew.heaviest_keys(counts, top_n)
 
     def order_check(self, order_id: str) -> tuple[DataFrame, DataFrame]:

@@ -42,10 +42,12 @@ class OrderLake(Lake):
         self.change_log = self.table("gold/status_change_log")
 
     def run(self, files: str | list[str], as_of: str) -> None:
-        self.ingest(files, as_of)
-        self.refine(as_of)
-        self.report(as_of)
-        self.end_run()
+        try:
+            self.ingest(files, as_of)
+            self.refine(as_of)
+            self.report(as_of)
+        finally:
+            self.end_run()
 
     # --- bronze -----------------------------------------------------------------
 
