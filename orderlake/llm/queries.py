@@ -106,3 +106,38 @@ SELECT page_id, host, path, best.rule AS rule,
        WHEN strict_hits > 0 OR soft_weight >= {url_filter.SOFT_LIMIT} THEN 'block' ELSE 'allow' END AS verdict,
   strict_hits, soft_weight
 FROM judged"""
+
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLE_SQL["op10_minmax_dedup"] = f"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, list_filter(string_split_regex({_LOWER.format("coalesce(text, '')")}, '[\\x20\\x09-\\x0D]+'),
+                             lambda w: w <> '') AS ws FROM documents),
+sets AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
+    ELSE list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]) END) AS items
+  FROM split),
+flat AS (SELECT doc_id, len(items) AS n, unnest(items) AS item FROM sets),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM flat a JOIN flat b ON a.item = b.item AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id
+  HAVING 100 * count(*) >= 85 * (any_value(a.n) + any_value(b.n) - count(*))),
+reach(a, b) AS (
+  SELECT doc_id, doc_id FROM sets UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
+SELECT doc_id, CAST(len(items) AS BIGINT) AS n_shingles, min(b) AS component_id, doc_id = min(b) AS kept
+FROM sets JOIN reach ON doc_id = a GROUP BY doc_id, items"""
+
+ORACLE_SQL["op7_vector_dedup"] = """
+WITH RECURSIVE good AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_inner_product(a.v, b.v) / sqrt(list_inner_product(a.v, a.v) * list_inner_product(b.v, b.v)) >= 0.98),
+reach(a, b) AS (
+  SELECT vec_id, vec_id FROM embeddings UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
+SELECT vec_id, (SELECT count(*) FROM links WHERE links.a = vec_id) AS n_links, min(b) AS component_id,
+  vec_id = min(b) AS kept
+FROM embeddings JOIN reach ON vec_id = a GROUP BY vec_id"""
