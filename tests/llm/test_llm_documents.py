@@ -294,6 +294,18 @@ def test_scores_follow_the_counts_and_learn(spark, monkeypatch):
     assert all(r.score < 0 for r in rows.values())
 
 
+def test_model_learns_once_from_every_training_document(spark, monkeypatch):
+    texts, learnt, round_of = {i: prose(i, 20) for i in range(120)}, [], lm_scoring._round
+
+    def seen(lessons, model, rate):
+        learnt.extend(r.doc_id for r in lessons.select("doc_id").collect())
+        return round_of(lessons, model, rate)
+
+    monkeypatch.setattr(lm_scoring, "_round", seen)
+    assert lm_scoring.scores(frame(spark, texts)).count() == len(texts)
+    assert sorted(learnt) == [i for i in texts if zlib.crc32(str(i).encode()) % 7 != 2]
+
+
 def test_scores_of_odd_rows(spark):
     assert lm_scoring.scores(odd(spark)).count() == len(ODD)
     assert lm_scoring.scores(odd(spark).limit(0)).count() == 0
