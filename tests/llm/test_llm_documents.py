@@ -306,6 +306,25 @@ def test_model_learns_once_from_every_training_document(spark, monkeypatch):
     assert sorted(learnt) == [i for i in texts if zlib.crc32(str(i).encode()) % 7 != 2]
 
 
+def test_classes_are_formed_on_the_neighbours_in_all_training_documents(spark, monkeypatch):
+    monkeypatch.setattr(lm_scoring, "CLASS_SAMPLE", 50, raising=False)
+    ids, made, classed = lm_scoring.subwords(), [], getattr(lm_scoring, "classed_model", None)
+    texts = {i: prose(i, 20) for i in range(90)} | {100: "", 101: None}
+    monkeypatch.setattr(lm_scoring, "classed_model", lambda counts, near: made.append(near) or classed(counts, near),
+                        raising=False)
+    lm_scoring.scores(frame(spark, texts)).count()
+    size = lm_scoring.END + 1
+    bucket = np.random.default_rng(3).integers(0, 96, size)
+    expected = np.zeros((size, 192), np.int64)
+    for i, t in texts.items():
+        if zlib.crc32(str(i).encode()) % 7 != 2:
+            row = [lm_scoring.BEGIN, *np.frombuffer(b"".join(map(ids.__getitem__, words(t))), "<u2").tolist(), lm_scoring.END]
+            for a, b in zip(row, row[1:]):
+                expected[b, bucket[a]] += 1
+                expected[a, 96 + bucket[b]] += 1
+    assert len(made) == 1 and (made[0] == expected).all()
+
+
 def test_scores_of_odd_rows(spark):
     assert lm_scoring.scores(odd(spark)).count() == len(ODD)
     assert lm_scoring.scores(odd(spark).limit(0)).count() == 0
