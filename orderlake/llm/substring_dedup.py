@@ -12,7 +12,8 @@ always holds a common window wherever it stands; equal windows are groups too.
 
 In each group the document with the smallest id keeps its text; in every other
 document the group's paragraphs and windows are removed, overlapping ones as one
-span.  Repetition inside one document is left alone.
+span, wherever and however often they stand in it.  Repetition inside the keeping
+document is left alone.
 
 NULL and short texts have no passages.  Repeated rows of one id count as one
 document.  Rows with a NULL id are never changed.  An empty table has no removals.
@@ -64,7 +65,7 @@ class Passages:
         return word_hashes(tokens), spans
 
     def windows(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Hash and first word of each window; of equal ones in a text the first."""
+        """Hash and first word of each window, equal ones included."""
         if len(hashes) < WINDOW + SPREAD - 1:
             return np.zeros(0, np.int64), np.zeros(0, np.int32)
         pairs = mixed(hashes[:-1] * np.uint64(0x100000001B3) + hashes[1:])
@@ -73,8 +74,7 @@ class Passages:
         views = np.lib.stride_tricks.sliding_window_view(places, SPREAD)
         chosen = np.unique(np.arange(len(views)) + views.argmin(axis=1))
         values = mixed((hashes[chosen[:, None] + np.arange(WINDOW)] * self.powers).sum(axis=1, dtype=np.uint64))
-        values, first = np.unique(values, return_index=True)
-        return signed(values), chosen[first].astype(np.int32)
+        return signed(values), chosen.astype(np.int32)
 
     def band_hashes(self, items: np.ndarray) -> np.ndarray:
         low = np.full(len(self.factors), np.iinfo(np.uint64).max, np.uint64)

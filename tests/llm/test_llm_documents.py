@@ -154,6 +154,18 @@ def test_substring_dedup_of_odd_rows(spark):
     assert substring_dedup.removals(rows.limit(0)).count() == 0
 
 
+def test_every_copy_of_a_passage_leaves_a_document_that_does_not_keep_it(spark):
+    passage = prose(300, 60)
+    texts = {1: f"{prose(301, 40)} {passage} {prose(302, 40)}",
+             2: f"{prose(303, 70)} {passage} {prose(304, 80)} {passage} {prose(305, 50)}\n{prose(306, 30)} {passage} {prose(307, 9)}"}
+    documents = frame(spark, texts)
+    found = substring_dedup.removals(documents)
+    assert {(r.doc_id, r.kept_in) for r in found.collect()} == {(2, 1)} and found.count() == 3
+    twice = frame(spark, {1: texts[2], 2: texts[1]})
+    assert {(r.doc_id, r.kept_in) for r in substring_dedup.removals(twice).collect()} == {(2, 1)}
+
+
+
 def test_windows_are_shared_by_every_long_common_run():
     passages = substring_dedup.Passages(2)
     need = substring_dedup.WINDOW + substring_dedup.SPREAD - 1
