@@ -12,8 +12,9 @@ always holds a common window wherever it stands; equal windows are groups too.
 
 In each group the document with the smallest id keeps its text; in every other
 document the group's paragraphs and windows are removed, overlapping ones as one
-span, wherever and however often they stand in it.  Repetition inside the keeping
-document is left alone.
+span, wherever and however often they stand in it.  Paragraphs are settled first and
+windows looked for in what these leave, so no window is kept in a removed
+paragraph.  Repetition inside the keeping document is left alone.
 
 NULL and short texts have no passages.  Repeated rows of one id count as one
 document.  Rows with a NULL id are never changed.  An empty table has no removals.
@@ -22,6 +23,7 @@ document.  Rows with a NULL id are never changed.  An empty table has no removal
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -91,35 +93,63 @@ def piece_of(hashes: np.ndarray) -> int:
 
 
 def marked(documents: DataFrame, bands: int) -> DataFrame:
-    """Per document its windows and its paragraphs with their bands."""
+    """Per document its paragraphs with their bands."""
     def make():
         passages = Passages(bands)
 
         def work(texts: list) -> list[pa.Array]:
-            windows, starts, counts = [], [], [0]
             lines = []
             for text in texts:
                 hashes, spans = passages.lines(text)
-                values, first = passages.windows(hashes)
-                windows.append(values)
-                starts.append(first)
-                counts.append(counts[-1] + len(values))
                 lines.append([{"piece": piece_of(hashes[a:b]), "start": a, "stop": b,
                                "bands": passages.band_hashes(shingles(hashes[a:b], SHINGLE)).tolist()}
                               for a, b in spans])
-            flat = pa.StructArray.from_arrays([pa.array(np.concatenate(windows)), pa.array(np.concatenate(starts))],
-                                              ["piece", "start"])
             kind = pa.list_(pa.struct([("piece", pa.int64()), ("start", pa.int32()), ("stop", pa.int32()),
                                        ("bands", pa.list_(pa.int64()))]))
-            return [pa.ListArray.from_arrays(pa.array(counts, pa.int32()), flat), pa.array(lines, kind)]
+            return [pa.array(lines, kind)]
 
         return work
 
     return per_text(documents, "text", make,
-                    "windows array<struct<piece:bigint,start:int>>, "
                     "lines array<struct<piece:bigint,start:int,stop:int,bands:array<bigint>>>")
 
 
+def left_windows(documents: DataFrame) -> DataFrame:
+    """Per document the windows of the text between its removed paragraphs (``held``: text and their spans)."""
+    def make():
+        passages = Passages(1)
+
+        def work(held: list) -> list[pa.Array]:
+            windows, starts, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.int32)], [0]
+            for row in held:
+                found = 0
+                hashes = passages.lines(row["text"])[0]
+                for a, b in between(row["gone"], len(hashes)):
+                    values, first = passages.windows(hashes[a:b])
+                    windows.append(values)
+                    starts.append(first + np.int32(a))
+                    found += len(values)
+                counts.append(counts[-1] + found)
+            flat = pa.StructArray.from_arrays([pa.array(np.concatenate(windows)), pa.array(np.concatenate(starts))],
+                                              ["piece", "start"])
+            return [pa.ListArray.from_arrays(pa.array(counts, pa.int32()), flat)]
+
+        return work
+
+    return per_text(documents, "held", make, "windows array<struct<piece:bigint,start:int>>")
+
+
+def between(gone: list[dict] | None, size: int) -> Iterator[tuple[int, int]]:
+    """The spans of words that the given ones leave."""
+    at = 0
+    for span in sorted(gone or [], key=lambda s: s["start"]):
+        if at < min(span["start"], size):
+            yield at, min(span["start"], size)
+        at = max(at, span["stop"])
+    if at < size:
+        yield at, size
+
+
 def merge_spans(rows: DataFrame) -> DataFrame:
     """One row per run of overlapping or touching spans of a document."""
     grouped = rows.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("start", "stop", "kept_in"))).alias("s"))
@@ -155,12 +185,6 @@ def removals(documents: DataFrame) -> DataFrame:
     texts = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     marks = shelf.keep(marked(texts.where("doc_id IS NOT NULL"), bands), "marks")
 
-    windows = marks.select("doc_id", F.inline("windows"))
-    repeated = shelf.keep(windows.groupBy("piece").agg(F.min("doc_id").alias("kept_in"), F.max("doc_id").alias("last"))
-                          .where("last > kept_in").select("piece", "kept_in"), "repeated-windows")
-    of_windows = (join_small(windows, repeated, "piece", "inner", repeated.count()).where("doc_id != kept_in")
-                  .select("doc_id", "start", (F.col("start") + WINDOW).alias("stop"), "kept_in"))
-
     lines = marks.select("doc_id", F.inline("lines"))
     classes = shelf.keep(lines.groupBy(F.col("piece").alias("id"))
                          .agg(F.min("doc_id").alias("lowest"), F.max("doc_id").alias("highest")), "classes")
@@ -201,6 +225,17 @@ def removals(documents: DataFrame) -> DataFrame:
     of_lines = (join_small(lines.select("doc_id", "piece", "start", "stop"), repeated_lines, "piece", "inner",
                            repeated_lines.count())
                 .where("doc_id != kept_in").select("doc_id", "start", "stop", "kept_in"))
+    of_lines = shelf.keep(of_lines, "line-removals")
+
+    # windows only count where no paragraph is removed, so what keeps one is kept itself
+    gone = shelf.keep(of_lines.groupBy("doc_id").agg(F.collect_set(F.struct("start", "stop")).alias("gone")), "gone")
+    held = (texts.where("doc_id IS NOT NULL").join(gone, "doc_id", "left")
+            .select("doc_id", F.struct("text", "gone").alias("held")))
+    windows = shelf.keep(left_windows(held), "windows").select("doc_id", F.inline("windows"))
+    repeated = shelf.keep(windows.groupBy("piece").agg(F.min("doc_id").alias("kept_in"), F.max("doc_id").alias("last"))
+                          .where("last > kept_in").select("piece", "kept_in"), "repeated-windows")
+    of_windows = (join_small(windows, repeated, "piece", "inner", repeated.count()).where("doc_id != kept_in")
+                  .select("doc_id", "start", (F.col("start") + WINDOW).alias("stop"), "kept_in"))
     return shelf.keep(merge_spans(of_windows.union(of_lines)), "removals")
 
 

@@ -166,6 +166,19 @@ def test_every_copy_of_a_passage_leaves_a_document_that_does_not_keep_it(spark):
 
 
 
+def test_a_passage_is_not_kept_in_a_paragraph_that_is_removed(spark):
+    words_of, passage = prose(310, 300).split(), prose(311, 54)
+    edited_copy = " ".join([*words_of[:150], passage, *words_of[150:]])
+    texts = {1: " ".join(words_of), 2: edited_copy + "\n" + prose(312, 30), 3: f"{prose(313, 60)} {passage} {prose(314, 60)}",
+             4: f"{prose(315, 60)} {passage} {prose(316, 60)}"}
+    documents = frame(spark, texts)
+    found = substring_dedup.removals(documents)
+    assert {(r.doc_id, r.kept_in) for r in found.collect()} == {(2, 1), (4, 3)}
+    left = {r.doc_id: r.text for r in substring_dedup.cut(documents, found).collect()}
+    assert left[3] == texts[3] and left[2].split() == texts[2].split()[354:]
+
+
+
 def test_windows_are_shared_by_every_long_common_run():
     passages = substring_dedup.Passages(2)
     need = substring_dedup.WINDOW + substring_dedup.SPREAD - 1
