@@ -8,7 +8,8 @@ links are the groups of one passage.
 Passages also repeat inside paragraphs that are otherwise different.  For these,
 windows of ``WINDOW`` words begin at content-chosen places (the smallest word-pair
 hash of every ``SPREAD`` places), so a run of ``WINDOW + SPREAD - 1`` equal words
-always holds a common window wherever it stands; equal windows are groups too.
+always holds a common window wherever it stands; equal windows are groups too,
+and each is grown word by word to the whole run shared with the keeping document.
 
 In each group the document with the smallest id keeps its text; in every other
 document the group's paragraphs and windows are removed, overlapping ones as one
@@ -75,8 +76,11 @@ class Passages:
         places = pairs[:len(hashes) - WINDOW + 1]
         views = np.lib.stride_tricks.sliding_window_view(places, SPREAD)
         chosen = np.unique(np.arange(len(views)) + views.argmin(axis=1))
-        values = mixed((hashes[chosen[:, None] + np.arange(WINDOW)] * self.powers).sum(axis=1, dtype=np.uint64))
-        return signed(values), chosen.astype(np.int32)
+        return self.window_hashes(hashes, chosen), chosen.astype(np.int32)
+
+    def window_hashes(self, hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        words = hashes[starts[:, None] + np.arange(WINDOW)]
+        return signed(mixed((words * self.powers).sum(axis=1, dtype=np.uint64)))
 
     def band_hashes(self, items: np.ndarray) -> np.ndarray:
         low = np.full(len(self.factors), np.iinfo(np.uint64).max, np.uint64)
@@ -150,6 +154,74 @@ def between(gone: list[dict] | None, size: int) -> Iterator[tuple[int, int]]:
         yield at, size
 
 
+def grown_end(own: np.ndarray, other: np.ndarray, at: int, places: np.ndarray, limit: int, step: int) -> int:
+    """How far the words from ``at`` on are equal to those from the best of ``places`` on; ``step`` is 1 or -1."""
+    done = at
+    while done != limit:
+        further = places + (done - at)
+        inside = (further >= 0) & (further < len(other))
+        places = places[inside][other[further[inside]] == own[done]]
+        if not len(places):
+            break
+        done += step
+    return done
+
+
+def grown(hits: DataFrame, held: DataFrame) -> DataFrame:
+    """``doc_id, start, stop, kept_in``: hits grown to the whole runs that both documents share.
+
+    Words of removed paragraphs end a run.  A run that reaches the window of the
+    next hit in the same two documents is carried on by that hit.
+    """
+    pairs = hits.groupBy("doc_id", "kept_in").agg(F.sort_array(F.collect_set("start")).alias("starts"))
+    rows = (pairs.join(held.withColumnRenamed("held", "own"), "doc_id")
+            .join(held.select(F.col("doc_id").alias("kept_in"), F.col("held").alias("keeper")), "kept_in")
+            .select("doc_id", "kept_in", "starts", "own", "keeper"))
+
+    def run(batches):
+        passages = Passages(1)
+
+        def read(side: dict, mark: int) -> np.ndarray:
+            hashes = passages.lines(side["text"])[0]
+            for span in side["gone"] or []:
+                hashes[span["start"]:span["stop"]] = mark
+            return hashes
+
+        last, kept, places = None, None, {}
+        for batch in batches:
+            out = []
+            for row in range(batch.num_rows):
+                doc, keeper, starts, own, side = (c[row].as_py() for c in batch.columns)
+                if last is None or last != (keeper, side):
+                    last, kept, places = (keeper, side), read(side, 1), {}
+                    for a, b in between(side["gone"], len(kept)):
+                        values, first = passages.windows(kept[a:b])
+                        for value, place in zip(values.tolist(), (first.astype(np.int64) + a).tolist()):
+                            places.setdefault(value, []).append(place)
+                    places = {v: np.array(p) for v, p in places.items()}
+                words = read(own, 0)
+                # several texts of one id: the place may be that of another text
+                inside = [s for s in starts if s + WINDOW <= len(words)]
+                out += [(doc, s, s + WINDOW, keeper) for s in starts[len(inside):]]
+                values = passages.window_hashes(words, np.array(inside, np.int64)).tolist()
+                before = [0, *(s + WINDOW for s in inside)]
+                after = [*inside[1:], len(words)]
+                for k, (start, value) in enumerate(zip(inside, values)):
+                    low, high = start, start + WINDOW
+                    if value in places:
+                        if before[k] < start:
+                            low = grown_end(words, kept, start - 1, places[value] - 1, before[k] - 1, -1) + 1
+                        if high < after[k]:
+                            high = grown_end(words, kept, high, places[value] + WINDOW, after[k], 1)
+                    out.append((doc, low, high, keeper))
+            columns = list(zip(*out)) or [()] * 4
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int32(), pa.int32(), pa.int64()))],
+                ["doc_id", "start", "stop", "kept_in"])
+
+    return rows.mapInArrow(run, "doc_id bigint, start int, stop int, kept_in bigint")
+
+
 def merge_spans(rows: DataFrame) -> DataFrame:
     """One row per run of overlapping or touching spans of a document."""
     grouped = rows.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("start", "stop", "kept_in"))).alias("s"))
@@ -234,8 +306,9 @@ def removals(documents: DataFrame) -> DataFrame:
     windows = shelf.keep(left_windows(held), "windows").select("doc_id", F.inline("windows"))
     repeated = shelf.keep(windows.groupBy("piece").agg(F.min("doc_id").alias("kept_in"), F.max("doc_id").alias("last"))
                           .where("last > kept_in").select("piece", "kept_in"), "repeated-windows")
-    of_windows = (join_small(windows, repeated, "piece", "inner", repeated.count()).where("doc_id != kept_in")
-                  .select("doc_id", "start", (F.col("start") + WINDOW).alias("stop"), "kept_in"))
+    hits = join_small(windows, repeated, "piece", "inner", repeated.count()).where("doc_id != kept_in")
+    hits = shelf.keep(hits.select("doc_id", "start", "kept_in"), "hits")
+    of_windows = grown(hits, held)
     return shelf.keep(merge_spans(of_windows.union(of_lines)), "removals")
 
 

@@ -179,6 +179,26 @@ def test_a_passage_is_not_kept_in_a_paragraph_that_is_removed(spark):
 
 
 
+def test_removals_are_whole_runs(spark):
+    passages = {k: prose(330 + k, n) for k, n in enumerate((51, 60, 77, 120))}
+    texts = {k: f"{prose(340 + k, 20 + 7 * k)} {p} {prose(350 + k, 50)}" for k, p in passages.items()}
+    texts |= {10 + k: f"{prose(360 + k, 33 + 5 * k)} {p} {prose(370 + k, 60)}" for k, p in passages.items()}
+    short = "\n".join(prose(380 + k, 11) for k in range(9))
+    texts |= {20: short, 21: short}
+    found = substring_dedup.removals(frame(spark, texts)).collect()
+    expected = {(10 + k, 33 + 5 * k, 33 + 5 * k + len(p.split()), k) for k, p in passages.items()}
+    assert sorted(map(tuple, found)) == sorted(expected | {(21, 0, 99, 20)})
+
+
+def test_runs_grow_from_the_best_of_all_places():
+    own = np.array([9, 1, 2, 3, 7, 7, 4, 5, 8], np.uint64)
+    other = np.array([2, 3, 7, 7, 6, 0, 1, 2, 3, 7, 7, 4], np.uint64)
+    places = np.array([2, 9])
+    assert substring_dedup.grown_end(own, other, 3, places - 1, -1, -1) == 0
+    assert substring_dedup.grown_end(own, other, 6, places + 2, len(own), 1) == 7
+
+
+
 def test_windows_are_shared_by_every_long_common_run():
     passages = substring_dedup.Passages(2)
     need = substring_dedup.WINDOW + substring_dedup.SPREAD - 1
