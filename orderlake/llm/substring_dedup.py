@@ -44,7 +44,7 @@ WINDOW = 25
 SPREAD = 26
 BAND_ROWS = 4
 #: Chance that two paragraphs just at the threshold share no band.
-MISS = 0.01
+MISS = 1e-4
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 

@@ -199,6 +199,16 @@ def test_runs_grow_from_the_best_of_all_places():
 
 
 
+def test_paragraphs_at_the_threshold_share_a_bucket():
+    bands = bands_for(substring_dedup.PERCENT / 100, substring_dedup.BAND_ROWS, substring_dedup.MISS)
+    passages, draw, missed = substring_dedup.Passages(bands), np.random.default_rng(4), 0
+    for _ in range(4000):
+        items = draw.integers(1 << 62, size=50, dtype=np.uint64)  # 40 of 50 shared
+        missed += not set(passages.band_hashes(items[:45])) & set(passages.band_hashes(items[5:]))
+    assert missed <= 4
+
+
+
 def test_windows_are_shared_by_every_long_common_run():
     passages = substring_dedup.Passages(2)
     need = substring_dedup.WINDOW + substring_dedup.SPREAD - 1
