@@ -54,7 +54,7 @@ class MinMaxBands:
             np.minimum(low, values.min(axis=1), out=low)
             np.maximum(high, values.max(axis=1), out=high)
         # minima and maxima of one function lie in different bands
-        slots = np.concatenate([low, high])[:self.bands * self.rows].reshape(self.rows, self.bands)
+        slots = np.concatenate([low, np.roll(high, 1)])[:self.bands * self.rows].reshape(self.rows, self.bands)
         out = np.arange(1, self.bands + 1, dtype=np.uint64)
         for row in slots:
             out = mixed(out * np.uint64(0x100000001B3) + row)

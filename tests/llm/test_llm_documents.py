@@ -110,6 +110,16 @@ def test_near_duplicates_of_odd_rows(spark):
     assert minmax_dedup.near_duplicates(odd(spark).limit(0)).count() == 0
 
 
+def test_minimum_and_maximum_of_a_function_lie_in_different_bands():
+    draw = np.random.default_rng(5)
+    for bands in (20, 31):
+        hashes = minmax_dedup.MinMaxBands(bands)
+        items = draw.integers(1 << 62, size=30, dtype=np.uint64)
+        whole, factor = hashes.of(items), hashes.factors[7].copy()
+        hashes.factors[7] = factor + np.uint64(2)
+        assert (hashes.of(items) != whole).sum() == 2
+
+
 def test_bands_keep_the_stated_miss():
     for threshold, rows, miss in ((0.8, 4, 0.01), (0.85, 6, 1e-4)):
         bands = bands_for(threshold, rows, miss)
