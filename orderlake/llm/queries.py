@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from orderlake.llm import (lm_scoring, minmax_dedup, packing, permutation_index, piece_viterbi, quality,
-                           substring_dedup, toxicity, url_filter, vector_dedup)
+from orderlake.llm import (block_kmeans, hard_negatives, lm_scoring, minmax_dedup, packing, permutation_index,
+                           personal_data, piece_viterbi, quality, substring_dedup, toxicity, url_filter, vector_dedup)
 from orderlake.llm.corpus import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,6 +80,26 @@ def op10_minmax_dedup(spark, sf_dir):
     return minmax_dedup.near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=85)
 
 
+@query
+def op11_centroid_clustering(spark, sf_dir):
+    """Cluster of every vector after five rounds from 40 hashed starts."""
+    return block_kmeans.cluster_report(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op12_hard_negatives(spark, sf_dir):
+    """Hard negatives of every hundredth vector and its positives, against all vectors."""
+    rows = table(spark, sf_dir, "embeddings")
+    turned = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mined(rows.select("vec_id", "embedding", turned.alias("label")), F.col("id") % 100 == 0)
+
+
+@query
+def op13_personal_data(spark, sf_dir):
+    """Personal data spans of every whole text."""
+    return personal_data.report(table(spark, sf_dir, "documents"))
+
+
 _BOUNDED = "'(^|[^a-z0-9])' || term || '($|[^a-z0-9])'"
 
 ORACLE_SQL["op3_url_filter"] = f"""
@@ -141,3 +162,58 @@ reach(a, b) AS (
 SELECT vec_id, (SELECT count(*) FROM links WHERE links.a = vec_id) AS n_links, min(b) AS component_id,
   vec_id = min(b) AS kept
 FROM embeddings JOIN reach ON vec_id = a GROUP BY vec_id"""
+
+
+def _round(n: int) -> str:
+    """Assignment to the centroids of round ``n``, and the centroids after it, as common table expressions."""
+    return f"""near{n} AS MATERIALIZED (
+  SELECT p.row, arg_min(c.cluster, (p.norm + c.norm - 2 * CAST(list_inner_product(p.v, c.v) AS HUGEINT), c.cluster)) AS cluster,
+    min(p.norm + c.norm - 2 * CAST(list_inner_product(p.v, c.v) AS HUGEINT)) AS distance
+  FROM points p CROSS JOIN centres{n} c GROUP BY p.row),
+means{n} AS (
+  SELECT cluster, i, floor(sum(x) / count(*)) AS x
+  FROM (SELECT n.cluster, unnest(p.v) AS x, unnest(range(1, 65)) AS i FROM near{n} n JOIN points p ON p.row = n.row)
+  GROUP BY cluster, i),
+moved{n} AS (SELECT cluster, list(x ORDER BY i) AS v FROM means{n} GROUP BY cluster),
+centres{n + 1} AS MATERIALIZED (
+  SELECT c.cluster, coalesce(m.v, c.v) AS v, list_inner_product(coalesce(m.v, c.v), coalesce(m.v, c.v)) AS norm
+  FROM centres{n} c LEFT JOIN moved{n} m ON m.cluster = c.cluster)"""
+
+
+ORACLE_SQL["op11_centroid_clustering"] = f"""
+WITH good AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+points AS MATERIALIZED (SELECT *, list_inner_product(v, v) AS norm FROM good),
+centres0 AS MATERIALIZED (
+  SELECT CAST(row_number() OVER (ORDER BY sha256('2:' || vec_id), v) - 1 AS INTEGER) AS cluster, v, norm
+  FROM points WHERE vec_id IS NOT NULL QUALIFY cluster < 40),
+{", ".join(_round(n) for n in range(6))},
+names AS (
+  SELECT cluster, sha256(array_to_string(list_transform(v, lambda x: CAST(CAST(x AS BIGINT) AS VARCHAR)), ',')) AS name
+  FROM centres5)
+SELECT vec_id, near5.cluster, CAST(distance AS BIGINT) AS distance,
+  CAST(sum(distance) OVER (PARTITION BY near5.cluster) AS BIGINT) AS cluster_inertia,
+  CAST(sum(distance) OVER () AS BIGINT) AS inertia, name AS centroid_sha256
+FROM near5 JOIN points ON points.row = near5.row JOIN names ON names.cluster = near5.cluster"""
+
+ORACLE_SQL["op12_hard_negatives"] = """
+WITH good AS MATERIALIZED (
+  SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+scored AS MATERIALIZED (
+  SELECT a.id AS anchor_id, b.id, a.label = b.label AS same, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM good a JOIN good b ON a.id <> b.id WHERE a.id % 100 = 0),
+positives AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT p.anchor_id, p.positive_id,
+  CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.id) AS INTEGER) AS rank,
+  s.id AS negative_id, p.positive_score, s.score AS negative_score
+FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same
+  AND 30 * p.positive_score <= 100 * s.score AND 100 * s.score <= 90 * p.positive_score
+QUALIFY rank <= 10"""
