@@ -122,3 +122,11 @@ LINE_RULES = [
     Rule("order_date_not_null", "order_date IS NOT NULL", "the order date is a real date"),
     Rule("row_signature_count_equals_1", "has_one_copy", "no other row has the same business values"),
 ]
+
+#: What the line pipeline applies: a row without a line number has no key that a rerun could find it by.
+LINE_LAKE_RULES = [*LINE_RULES, Rule("line_item_seq_not_null", "line_item_seq IS NOT NULL", "the line number is present")]
+
+
+def widened(contract: T.StructType, extra: list[str]) -> T.StructType:
+    """A contract with further text columns."""
+    return T.StructType(contract.fields + [T.StructField(name, T.StringType()) for name in extra])

@@ -27,6 +27,17 @@ def status_change_log(history: DataFrame, as_of: str | None = None, key: str = "
     return log if as_of is None else log.withColumn("gold_at", moment(as_of))
 
 
+def refreshed_change_log(history: DataFrame, log: DataFrame, as_of: str, key: str = "order_id") -> DataFrame:
+    """The change log of some partitions, given as their history and former log.
+
+    A key is in the log once a version of it is closed.  Closing and new versions
+    lie in the given partitions, and keys that were closed elsewhere before are in
+    the former log, so no other partition is needed.
+    """
+    keys = closed_versions(history).select(key).union(log.select(key))
+    return history.join(one_per_key(keys, [key]), key, "left_semi").withColumn("gold_at", moment(as_of))
+
+
 def order_summary(history: DataFrame) -> DataFrame:
     """Current lines rolled up per order, customer, region and date.
 

@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+import datetime as dt
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from orderlake.contracts import widened
 from orderlake.operators import audit, layout, merge
+from orderlake.sources.ledgers import REPORTED, ColumnLedger, FileLedger, PartitionLedger, StageLog
 from orderlake.sources.runlog import RunLog
 from orderlake.sources.tables import LakeTable, Stage
 
@@ -25,11 +32,12 @@ def rows_per(rows: DataFrame, column: str) -> dict:
     return {row[0]: row[1] for row in rows.groupBy(column).agg(F.count(F.lit(1))).collect()}
 
 
-def in_partitions(column: str, values: list) -> Column:
+def in_partitions(column: str | Column, values: list) -> Column:
     """Rows of the named partitions, NULL included when it is one of them."""
+    column = F.col(column) if isinstance(column, str) else column
     named = [v for v in values if v is not None]
-    condition = F.col(column).isin(named) if named else F.lit(False)
-    return condition | F.col(column).isNull() if None in values else condition
+    condition = column.isin(named) if named else F.lit(False)
+    return condition | column.isNull() if None in values else condition
 
 
 class Lake:
@@ -40,6 +48,12 @@ class Lake:
         self.root = root.rstrip("/")
         self.stage = Stage(spark, f"{self.root}/_stage")
         self.log = RunLog(spark, f"{self.root}/run_log")
+        self.batches = PartitionLedger(spark, f"{self.root}/ledger/partitions")
+        self.files = FileLedger(spark, f"{self.root}/ledger/files")
+        self.columns = ColumnLedger(spark, f"{self.root}/ledger/columns")
+        self.stages = StageLog(spark, f"{self.root}/ledger/stages")
+        #: Columns beyond the contract that deliveries have brought so far.
+        self.extra = self.columns.read()
 
     def tables(self) -> dict[str, LakeTable]:
         return {name: item for name, item in vars(self).items() if isinstance(item, LakeTable)}
@@ -47,6 +61,36 @@ class Lake:
     def table(self, path: str, **options) -> LakeTable:
         return LakeTable(self.spark, f"{self.root}/{path}", **options)
 
+    @contextmanager
+    def timed(self, stage: str, as_of: str) -> Iterator[None]:
+        """Note the times of a stage of a run once it has ended well."""
+        started = dt.datetime.now(dt.timezone.utc)
+        yield
+        self.stages.note(stage, started, dt.datetime.now(dt.timezone.utc), as_of)
+
+    # --- columns beyond the contract ----------------------------------------------
+
+    def admit(self, rows: DataFrame, found: list[str], as_of: str) -> DataFrame:
+        """Note a delivery's new columns, and give its rows all the columns that the lake has by now."""
+        known = {name.lower(): name for name in self.extra}
+        fresh = [name for name in found if name.lower() not in known]
+        if fresh:
+            self.columns.note(len(self.extra), fresh, as_of)
+            self.extra = [*self.extra, *fresh]
+            self.declare()
+        rows = rows.withColumnsRenamed({name: known[name.lower()] for name in found if name.lower() in known})
+        have = set(rows.columns)
+        return rows.withColumns({name: F.lit(None).cast("string") for name in self.extra if name not in have})
+
+    def declare(self) -> None:
+        """Set the schemas of the tables that carry the further columns; set by each pipeline."""
+        for table, schema in self.carriers():
+            table.schema = widened(schema, self.extra)
+
+    def carriers(self) -> list[tuple[LakeTable, T.StructType]]:
+        """The tables that carry further columns, with their contracts."""
+        return []
+
     # --- writes, each with its line in the run log ----------------------------
 
     def append(self, table: LakeTable, rows: DataFrame, as_of: str) -> int:
@@ -62,25 +106,39 @@ class Lake:
         self.log.record(table.path.removeprefix(self.root + "/"), operation, row_count, as_of)
         return row_count
 
+    def partition_type(self, table: LakeTable) -> T.DataType:
+        return table.schema[table.partition_by[0]].dataType
+
+    def note_touched(self, table: LakeTable, values: list, as_of: str) -> None:
+        self.batches.note(table.path.removeprefix(self.root + "/"), values, as_of)
+
+    def touched_before(self, table: LakeTable, as_of: str) -> list:
+        return self.batches.of_batch(table.path.removeprefix(self.root + "/"), as_of, self.partition_type(table))
+
     def write_batch(self, table: LakeTable, rows: DataFrame, mine: Column, as_of: str) -> None:
         """Add a batch's rows; when the batch ran before, its former rows (``mine``) make way.
 
-        The table is partitioned by load date, so only the partitions of the
-        batch are read and replaced.  A batch that brings no row to a load date
-        any more leaves that partition as it is.
+        The partitions that the batch wrote to before are known from the ledger, so
+        that only these and the ones it brings now are read and replaced, and none
+        keeps a row that the batch no longer brings.
         """
+        partition = table.partition_by[0]
+        days = values_of(rows, partition)
+        former = self.touched_before(table, as_of)
+        self.note_touched(table, [v for v in days if v not in former], as_of)
         if not table.exists():
-            if not rows.isEmpty():
+            if days:
                 self.append(table, rows, as_of)
-        else:
-            partition = table.partition_by[0]
-            days = values_of(rows.select(partition), partition)
-            held = table.read().where(in_partitions(partition, days))
-            if held.where(mine).isEmpty():
+            return
+        held = table.read().where(in_partitions(partition, list({*days, *former})))
+        if held.where(mine).isEmpty():
+            if days:
                 self.append(table, rows, as_of)
-                return
-            others = held.where(~F.coalesce(mine, F.lit(False)))
-            self.replace_partitions(table, others.unionByName(rows, allowMissingColumns=True), as_of, "replace batch")
+            return
+        others = held.where(~F.coalesce(mine, F.lit(False)))
+        kept = rows_per(others, partition)
+        self.replace_partitions(table, others.unionByName(rows, allowMissingColumns=True), as_of, "replace batch")
+        table.drop_partitions([v for v in former if v not in days and v not in kept])
 
     # --- upsert ---------------------------------------------------------------
 
@@ -93,20 +151,25 @@ class Lake:
         between is completed by running it again.  Bronze sources may repeat a
         key; where keys have to be unique, the caller checks before.
         """
+        if not table.partition_by:
+            if table.exists():
+                self.publish(table, merge.replace_key_groups(table.read(), source, keys), as_of, "upsert")
+            else:
+                self.append(table, source, as_of)
+            return
+        partition = table.partition_by[0]
+        arriving = rows_per(source, partition)
         if not table.exists():
+            self.note_touched(table, list(arriving), as_of)
             self.append(table, source, as_of)
             return
         stored = table.read()
-        if not table.partition_by:
-            self.publish(table, merge.replace_key_groups(stored, source, keys), as_of, "upsert")
-            return
-        partition = table.partition_by[0]
         held = stored.select(*{*keys, partition})
         leaving = rows_per(held.join(merge.one_per_key(source, keys), keys, "left_semi"), partition)
+        self.note_touched(table, list({*leaving, *arriving}), as_of)
         if not leaving:
             self.append(table, source, as_of)
             return
-        arriving = rows_per(source, partition)
         part = stored.where(in_partitions(partition, list({*leaving, *arriving})))
         before = rows_per(part, partition)
         emptied = [value for value, count in leaving.items()
@@ -127,6 +190,8 @@ class Lake:
         """
         batch = merge.unique_or_fail(batch, keys)
         if not table.exists():
+            if table.partition_by:
+                self.note_touched(table, values_of(batch, table.partition_by[0]), as_of)
             self.append(table, merge.open_versions(batch), as_of)
             return
         history = table.read()
@@ -140,11 +205,42 @@ class Lake:
             return
         partition = carry[0]
         touched = values_of(changed.select(partition).union(fresh.select(partition)), partition)
+        self.note_touched(table, touched, as_of)
         if touched:
             part = history.where(in_partitions(partition, touched))
             merged = merge.close_versions(part, changed, keys, as_of).unionByName(fresh)
             self.replace_partitions(table, merged, as_of, "merge history")
 
+    # --- gold, a part at a time ---------------------------------------------------
+
+    def to_report(self, source: LakeTable, as_of: str, *reports: LakeTable) -> list | None:
+        """The partitions of ``source`` that reports have to be brought up to date with; None for all."""
+        if not all(table.exists() for table in reports):
+            return None
+        return self.batches.unreported(source.path.removeprefix(self.root + "/"), as_of, self.partition_type(source))
+
+    def refresh(self, table: LakeTable, rows: DataFrame, values: list | None, as_of: str) -> None:
+        """Make ``rows`` the content of these partitions of ``table``; of all, if ``values`` is None."""
+        if values is None:
+            self.publish(table, rows, as_of)
+        elif values:
+            rows, partition = self.stage.keep(rows, f"{table.name}_part"), table.partition_by[0]
+            present = rows_per(rows, partition)
+            self.replace_partitions(table, rows, as_of, "refresh")
+            table.drop_partitions([v for v in values if v not in present])
+
+    def refresh_where(self, table: LakeTable, rows: DataFrame, part: Column, values: list | None, as_of: str) -> None:
+        """The same for a small table without partitions, whose parts are told by ``part``."""
+        if values is None:
+            self.publish(table, rows, as_of)
+        elif values:
+            others = table.read().where(~F.coalesce(in_partitions(part, values), F.lit(False)))
+            self.publish(table, others.unionByName(rows), as_of, "refresh")
+
+    def reported(self, as_of: str) -> None:
+        """Note that all reports of a batch are complete."""
+        self.batches.note(REPORTED, [None], as_of)
+
     def end_run(self) -> None:
         """Drop what the run wrote aside."""
         self.stage.clear()

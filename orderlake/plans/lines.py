@@ -6,17 +6,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderlake.contracts import (LINE_BRONZE_KEY, LINE_KEY, LINE_RAW, LINE_RULES, LINE_SIGNATURE,
-                                 LINE_TYPES, ORDER_MONTH, ORDER_SUMMARY, TRACKED, VERSION)
-from orderlake.functions import moment, month_of
+from orderlake.contracts import (LINE_BRONZE_KEY, LINE_KEY, LINE_LAKE_RULES, LINE_RAW, LINE_SIGNATURE,
+                                 LINE_TYPES, ORDER_MONTH, ORDER_SUMMARY, TRACKED, VERSION, widened)
+from orderlake.functions import all_present, moment, month_of
 from orderlake.operators import audit, duplicates, gold, merge, quality, skew, standardize
 from orderlake.plans.lake import Lake, in_partitions, values_of
-from orderlake.sources.raw import file_name, read_text_columns
+from orderlake.sources.raw import file_name, read_delivery
 
 RAW = T.StructType([T.StructField(name, T.StringType()) for name in [*LINE_RAW, "_source_file"]]
                    + [T.StructField("_loaded_at", T.TimestampType())])
 SILVER = T.StructType(LINE_TYPES.fields + VERSION.fields + [ORDER_MONTH])
 SUMMARY = T.StructType(ORDER_SUMMARY.fields + [ORDER_MONTH])
+RESERVED = [*SILVER.names, "closes_now", "key_hash"]
 QUARANTINE = T.StructType(LINE_TYPES.fields + [
     T.StructField("_failed_rules", T.ArrayType(T.StringType())),
     T.StructField("_quarantined_at", T.TimestampType())])
@@ -26,11 +27,12 @@ class LineLake(Lake):
     """One run per delivered file set.
 
     Bronze and quarantine are kept by load date, silver and order summary by order month.
+    Columns beyond the contract are carried as text by bronze, quarantine and silver.
     """
 
     def __init__(self, spark: SparkSession, root: str, rules=None):
         super().__init__(spark, root)
-        self.rules = rules or LINE_RULES
+        self.rules = rules or LINE_LAKE_RULES
         self.load_days: dict[str, list] = {}
         self.bronze = self.table("bronze/lines", partition_by=("ingest_date",), schema=RAW)
         self.quarantine = self.table("quarantine/lines", partition_by=("ingest_date",), schema=QUARANTINE)
@@ -40,28 +42,44 @@ class LineLake(Lake):
                                         cluster_by=("order_id", "customer_id", "region"), schema=SUMMARY)
         # a handful of rows per day: never split by date, always one ordered set of files
         self.region_daily = self.table("gold/region_daily", cluster_by=("region", "order_date"))
+        self.declare()
+
+    def carriers(self):
+        return [(self.bronze, RAW), (self.quarantine, QUARANTINE), (self.silver, SILVER)]
 
     def run(self, files: str | list[str], as_of: str) -> None:
         try:
-            self.ingest(files, as_of)
-            self.refine(as_of)
-            self.report(as_of)
+            with self.timed("bronze", as_of):
+                self.ingest(files, as_of)
+            with self.timed("quality", as_of):
+                good = self.check(as_of)
+            with self.timed("merge", as_of):
+                self.merge(good, as_of)
+            with self.timed("gold", as_of):
+                self.report(as_of)
         finally:
             self.end_run()
 
     # --- bronze -----------------------------------------------------------------
 
     def ingest(self, files: str | list[str], as_of: str) -> None:
-        """Land raw rows as they are; an order delivered again for a load date replaces its former rows.
+        """Land raw rows as text; an order delivered again for a load date replaces its former rows.
 
-        Only the load-date partitions the delivery brings are read and rewritten.
+        The files are scanned once.  A load date that is no date becomes NULL, so
+        the partitions a delivery can bring are days.  Only these are read and
+        rewritten.  Rows without an order id or a load date can't be found by
+        their key: when the same batch comes again, its former ones make way.
         """
-        raw = standardize.stamp_lines(read_text_columns(self.spark, files, LINE_RAW), file_name(), as_of)
+        rows, found = read_delivery(self.spark, files, LINE_RAW, file_name(), "_source_file", RESERVED)
+        raw = standardize.stamp_lines(self.admit(rows, found, as_of), F.col("_source_file"), as_of).withColumn(
+            "ingest_date", F.trim("ingest_date").try_cast("date").cast("string"))
         if self.bronze.exists():
+            raw = self.stage.keep(raw, "landed_lines")
             days = self.load_days[as_of] = values_of(raw, "ingest_date")
             held = self.bronze.read().where(in_partitions("ingest_date", days))
             if not held.isEmpty():
-                merged = merge.replace_key_groups(held, raw, LINE_BRONZE_KEY)
+                keyless = ~all_present(LINE_BRONZE_KEY) & (F.col("_loaded_at") == moment(as_of))
+                merged = merge.replace_key_groups(held.where(~keyless), raw, LINE_BRONZE_KEY)
                 self.replace_partitions(self.bronze, merged, as_of, "upsert")
                 return
         self.append(self.bronze, raw, as_of)
@@ -85,7 +103,7 @@ class LineLake(Lake):
         signature, then exactly among the few rows that share one.  The small
         results are written aside, so their size is known to the planner.
         """
-        typed = standardize.conform(standardize.trim_text(self.delivered(as_of)), LINE_TYPES)
+        typed = standardize.conform(standardize.trim_text(self.delivered(as_of)), widened(LINE_TYPES, self.extra))
         suspects = self.stage.keep(duplicates.suspect_hashes(typed, LINE_SIGNATURE), "suspect_hashes")
         repeated = self.stage.keep(
             duplicates.repeated_signatures(
@@ -113,10 +131,18 @@ class LineLake(Lake):
     # --- gold ---------------------------------------------------------------------
 
     def report(self, as_of: str) -> None:
-        """Rebuild both gold tables; the regional one reads the summary just written, not the lines."""
-        summary = gold.order_summary(self.silver.read()).withColumn("order_month", month_of("order_date"))
-        self.publish(self.order_summary, summary, as_of)
-        self.publish(self.region_daily, gold.region_daily(self.order_summary.read()), as_of)
+        """Bring both gold tables up to date with the months whose lines changed.
+
+        A month of the summary depends on that month of the lines alone.  The
+        regional table reads the summary just written, not the lines.
+        """
+        months = self.to_report(self.silver, as_of, self.order_summary, self.region_daily)
+        mine = F.lit(True) if months is None else in_partitions("order_month", months)
+        summary = gold.order_summary(self.silver.read().where(mine)).withColumn("order_month", month_of("order_date"))
+        self.refresh(self.order_summary, summary, months, as_of)
+        daily = gold.region_daily(self.order_summary.read().where(mine))
+        self.refresh_where(self.region_daily, daily, month_of("order_date"), months, as_of)
+        self.reported(as_of)
 
     # --- checks -------------------------------------------------------------------
 

@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderlake.contracts import (ORDER_BRONZE_KEY, ORDER_KEY, ORDER_LINEAGE, ORDER_MONTH, ORDER_RAW,
-                                 ORDER_SIGNATURE, ORDER_TYPES, TRACKED, VERSION)
+                                 ORDER_SIGNATURE, ORDER_TYPES, TRACKED, VERSION, widened)
 from orderlake.functions import moment, month_of
 from orderlake.operators import audit, duplicates, gold, merge, quality, reconcile, standardize
-from orderlake.plans.lake import Lake
-from orderlake.sources.raw import file_uri, read_text_columns
+from orderlake.plans.lake import Lake, in_partitions
+from orderlake.sources.raw import file_uri, files_of, read_delivery, read_text_columns
 
 TYPED = T.StructType(ORDER_TYPES.fields + ORDER_LINEAGE.fields)
 RAW = T.StructType([T.StructField(name, T.StringType()) for name in ORDER_RAW] + ORDER_LINEAGE.fields)
@@ -20,13 +20,17 @@ QUARANTINE = T.StructType(TYPED.fields + [
     T.StructField("quarantine_at", T.TimestampType())])
 SINGLE = T.StructType(TYPED.fields + [ORDER_MONTH])
 HISTORY = T.StructType(TYPED.fields + VERSION.fields)
+CHANGES = T.StructType(HISTORY.fields + [T.StructField("gold_at", T.TimestampType())])
+RESERVED = [*QUARANTINE.names, *SINGLE.names, *CHANGES.names, *quality.FLAGS, "lineage", "closes_now", "key_hash",
+            "dup_count", "distinct_row_count"]
 
 
 class OrderLake(Lake):
     """One run per delivered file set.
 
     ``keep_history=False`` holds one clean row per order; ``True`` holds every
-    status an order went through.
+    status an order went through.  Columns beyond the contract are carried as text by
+    bronze, quarantine, silver and the change log.
     """
 
     def __init__(self, spark: SparkSession, root: str, keep_history: bool = False):
@@ -39,37 +43,47 @@ class OrderLake(Lake):
                                  schema=HISTORY if keep_history else SINGLE)
         self.daily_revenue = self.table("gold/daily_revenue")
         self.status_counts = self.table("gold/status_counts")
-        self.change_log = self.table("gold/status_change_log")
+        self.change_log = self.table("gold/status_change_log", partition_by=("ingest_date",), schema=CHANGES)
+        self.declare()
+
+    def carriers(self):
+        return [(self.bronze, RAW), (self.quarantine, QUARANTINE), (self.change_log, CHANGES),
+                (self.silver, HISTORY if self.keep_history else SINGLE)]
 
     def run(self, files: str | list[str], as_of: str) -> None:
         try:
-            self.ingest(files, as_of)
-            self.refine(as_of)
-            self.report(as_of)
+            with self.timed("bronze", as_of):
+                self.ingest(files, as_of)
+            with self.timed("silver", as_of):
+                self.refine(as_of)
+            with self.timed("gold", as_of):
+                self.report(as_of)
         finally:
             self.end_run()
 
     # --- bronze -----------------------------------------------------------------
 
     def ingest(self, files: str | list[str], as_of: str) -> None:
-        """Land raw rows as they are; files delivered again replace their former orders."""
-        raw = standardize.stamp_orders(read_text_columns(self.spark, files, ORDER_RAW), as_of, file_uri())
-        if self._holds_files_of(raw):
-            self.upsert(self.bronze, raw, ORDER_BRONZE_KEY, as_of)
+        """Land raw rows as they are; files delivered again replace their former orders.
+
+        Whether a file was landed before is told by the file ledger, so that new files
+        are appended without a look at older bronze rows.
+        """
+        rows, found = read_delivery(self.spark, files, ORDER_RAW, file_uri(), "source_filename", RESERVED)
+        raw = standardize.stamp_orders(self.admit(rows, found, as_of), as_of, F.col("source_filename"))
+        named = files_of(self.spark, files)
+        known = self.files.knows_any(named)
+        if not known and named:
+            self.files.note(named, as_of)
+        if known:
+            self.upsert(self.bronze, self.stage.keep(raw, "landed_orders"), ORDER_BRONZE_KEY, as_of)
         else:
             self.append(self.bronze, raw, as_of)
 
-    def _holds_files_of(self, raw: DataFrame) -> bool:
-        """Whether a file of the delivery was landed before; reads one column and spares new files the upsert."""
-        if not self.bronze.exists():
-            return False
-        names = self.stage.keep(raw.select("source_filename").distinct(), "file_names")
-        return not self.bronze.read().select("source_filename").join(names, "source_filename", "left_semi").isEmpty()
-
     def delivered(self, as_of: str) -> DataFrame:
         """Typed rows of the delivery stamped ``as_of``; only its load-date partition is read."""
         mine = (F.col("ingest_date") == F.to_date(moment(as_of))) & (F.col("ingest_at") == moment(as_of))
-        return standardize.conform(self.bronze.read().where(mine), TYPED)
+        return standardize.conform(self.bronze.read().where(mine), widened(TYPED, self.extra))
 
     # --- silver -----------------------------------------------------------------
 
@@ -101,12 +115,22 @@ class OrderLake(Lake):
     # --- gold ---------------------------------------------------------------------
 
     def report(self, as_of: str) -> None:
-        silver = self.silver.read()
+        """Bring the reports up to date with the partitions of silver that changed."""
         if self.keep_history:
-            self.publish(self.change_log, gold.status_change_log(silver, as_of), as_of)
+            days = self.to_report(self.silver, as_of, self.change_log)
+            if days is None:
+                log = gold.status_change_log(self.silver.read(), as_of)
+            else:
+                mine = in_partitions("ingest_date", days)
+                log = gold.refreshed_change_log(self.silver.read().where(mine), self.change_log.read().where(mine), as_of)
+            self.refresh(self.change_log, log, days, as_of)
         else:
-            self.publish(self.daily_revenue, gold.daily_revenue(silver), as_of)
-            self.publish(self.status_counts, gold.status_counts(silver), as_of)
+            months = self.to_report(self.silver, as_of, self.daily_revenue)
+            mine = F.lit(True) if months is None else in_partitions("order_month", months)
+            revenue = gold.daily_revenue(self.silver.read().where(mine))
+            self.refresh_where(self.daily_revenue, revenue, month_of("order_date"), months, as_of)
+            self.publish(self.status_counts, gold.status_counts(self.silver.read()), as_of)
+        self.reported(as_of)
 
     # --- checks -------------------------------------------------------------------
 

@@ -163,7 +163,8 @@ class LakeTable:
     def drop_partitions(self, values: list) -> None:
         """Delete the folders of these values of the first partition column from the newest snapshot."""
         column, jvm = self.partition_by[0], self.spark.sparkContext._jvm
+        named = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
         for value in values:
-            named = "__HIVE_DEFAULT_PARTITION__" if value is None else value
-            folder = jvm.org.apache.hadoop.fs.Path(f"{self.location()}/{column}={named}")
+            folder = jvm.org.apache.hadoop.fs.Path(
+                f"{self.location()}/{named(column, None if value is None else str(value))}")
             folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
