@@ -24,6 +24,23 @@ def table_health(spark: SparkSession, locations: Mapping[str, str]) -> DataFrame
     return result
 
 
+def stored_health(stored: Mapping[str, DataFrame]) -> DataFrame:
+    """Rows, files and bytes per table, from the rows themselves and the files they lie in.
+
+    Takes plain file scans; files without a row don't count.  Rows are folded per file
+    before the tables meet, so what is shuffled is one line per file and task.
+    """
+    result = None
+    for name, rows in stored.items():
+        per_file = (rows.select("_metadata.file_path", "_metadata.file_size").groupBy("file_path")
+                    .agg(F.count(F.lit(1)).alias("row_count"), F.max("file_size").alias("file_size")))
+        line = per_file.agg(F.coalesce(F.sum("row_count"), F.lit(0)).alias("row_count"), F.count(F.lit(1)).alias("file_count"),
+                            F.coalesce(F.sum("file_size"), F.lit(0)).alias("size_bytes"))
+        line = line.select(F.lit(name).alias("table_name"), "*")
+        result = line if result is None else result.unionByName(line)
+    return result
+
+
 def cluster_rows(stored: DataFrame, columns: list[str], files: int | None = None) -> DataFrame:
     """Rows of a stored Parquet table, arranged so that nearby values share a file.
 

@@ -20,7 +20,7 @@ from orderlake.sources.tables import LakeTable, Stage
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-DAY1, DAY2 = given.FIRST_DAY, given.SECOND_DAY
+DAY1, DAY2, DAY3 = given.FIRST_DAY, given.SECOND_DAY, given.THIRD_DAY
 
 
 def query(make: Query) -> Query:
@@ -335,14 +335,32 @@ def line_lake(spark: SparkSession, sf_dir: str, again: bool = False) -> LineLake
     return lake
 
 
-def order_lake(spark: SparkSession, sf_dir: str) -> OrderLake:
+def order_lake(spark: SparkSession, sf_dir: str, keep_history: bool = True, batches: int = 2) -> OrderLake:
     folder = Stage(spark).folder
-    lake = OrderLake(spark, f"{folder}/lake", keep_history=True)
-    for day, as_of in ((1, DAY1), (2, DAY2)):
+    lake = OrderLake(spark, f"{folder}/lake", keep_history)
+    for day, as_of in list(enumerate((DAY1, DAY2, DAY3), 1))[:batches]:
         lake.run(delivered(spark, given.raw_orders(spark, sf_dir, day), f"{folder}/day{day}"), as_of)
     return lake
 
 
+def widening_lake(spark: SparkSession, sf_dir: str) -> LineLake:
+    """Both line batches, the second one with a column that the first has not."""
+    folder = Stage(spark).folder
+    lake = LineLake(spark, f"{folder}/lake")
+    lake.run(delivered(spark, given.raw_lines(spark, sf_dir, 1), f"{folder}/day1"), DAY1)
+    lake.run(delivered(spark, given.channelled_lines(spark, sf_dir), f"{folder}/day2"), DAY2)
+    return lake
+
+
+def corrected_lake(spark: SparkSession, sf_dir: str) -> LineLake:
+    """The first line batch, and the same batch once more with its quantities put right."""
+    folder = Stage(spark).folder
+    lake = LineLake(spark, f"{folder}/lake")
+    lake.run(delivered(spark, given.raw_lines(spark, sf_dir, 1), f"{folder}/day1"), DAY1)
+    lake.run(delivered(spark, given.mended_lines(spark, sf_dir), f"{folder}/again"), DAY1)
+    return lake
+
+
 @query
 def lake_line_history(spark, sf_dir):
     return line_lake(spark, sf_dir).silver.read().drop("_source_file", "order_month")
@@ -378,6 +396,67 @@ def lake_status_change_log(spark, sf_dir):
     return order_lake(spark, sf_dir).change_log.read().drop("source_filename", "ingest_at")
 
 
+@query
+def lake_new_column_bronze(spark, sf_dir):
+    return widening_lake(spark, sf_dir).bronze.read().drop("_source_file", "_loaded_at")
+
+
+@query
+def lake_new_column_quarantine(spark, sf_dir):
+    return rules_as_text(widening_lake(spark, sf_dir).quarantine.read()).drop("_source_file")
+
+
+@query
+def lake_corrected_quarantine(spark, sf_dir):
+    return rules_as_text(corrected_lake(spark, sf_dir).quarantine.read()).drop("_source_file")
+
+
+@query
+def lake_corrected_summary(spark, sf_dir):
+    return corrected_lake(spark, sf_dir).order_summary.read().drop("order_month")
+
+
+@query
+def lake_single_orders(spark, sf_dir):
+    lake = order_lake(spark, sf_dir, keep_history=False)
+    return lake.silver.read().drop("source_filename", "ingest_at", "order_month")
+
+
+@query
+def lake_daily_revenue(spark, sf_dir):
+    return order_lake(spark, sf_dir, keep_history=False).daily_revenue.read()
+
+
+@query
+def lake_redelivered_orders(spark, sf_dir):
+    """Bronze after the files of one day have come again on the next."""
+    folder = Stage(spark).folder
+    lake = OrderLake(spark, f"{folder}/lake")
+    files = delivered(spark, given.raw_orders(spark, sf_dir, 1), f"{folder}/day1")
+    for as_of in (DAY1, DAY2):
+        lake.run(files, as_of)
+    return lake.bronze.read().drop("source_filename", "ingest_at")
+
+
+@query
+def lake_recon_manifest(spark, sf_dir):
+    """The history of the lake held against a manifest file."""
+    lake = order_lake(spark, sf_dir)
+    expected = given.manifest(*order_batches(spark, sf_dir))
+    return lake.reconcile(delivered(spark, expected, f"{Stage(spark).folder}/manifest"))["summary"]
+
+
+@query
+def lake_three_batches(spark, sf_dir):
+    return order_lake(spark, sf_dir, batches=3).silver.read().drop("source_filename", "ingest_at")
+
+
+@query
+def lake_version_mismatch(spark, sf_dir):
+    """Orders with more or fewer than two versions after three batches."""
+    return reconcile.version_mismatches(order_lake(spark, sf_dir, batches=3).change_log.read())
+
+
 # --- skew and storage ----------------------------------------------------------------
 
 @query
@@ -405,6 +484,14 @@ def table_health(spark, sf_dir):
     return audit.layer_counts({name: given.table(spark, sf_dir, name) for name in given.TABLES})
 
 
+@query
+def table_files(spark, sf_dir):
+    """Rows of every given table, and whether it has files and bytes."""
+    health = layout.stored_health({name: given.table(spark, sf_dir, name) for name in given.TABLES})
+    return health.select("table_name", "row_count", (F.col("file_count") > 0).alias("has_files"),
+                         (F.col("size_bytes") > 0).alias("has_bytes"))
+
+
 @query
 def run_log(spark, sf_dir):
     folder = Stage(spark).folder

@@ -4,7 +4,8 @@ The tables hold no missing, padded, malformed or repeated values, so the
 deliveries add such faults by fixed rules on the keys (see ``FIXTURES.md``).
 A delivery is either the whole table or one of two overlapping batches, split by
 order date: the second one brings known orders again, some of them progressed,
-and new ones.
+and new ones.  A third one brings the orders of the second again, some of them
+cancelled in the meantime.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "conversations").split()
 FIRST_DAY = "2026-06-01 00:00:00"
 SECOND_DAY = "2026-06-02 00:00:00"
+THIRD_DAY = "2026-06-03 00:00:00"
 
 # fixed values: the first batch ends where new orders begin, the second starts earlier
 NEW_SINCE = "2001-01-01"
@@ -35,7 +37,7 @@ def _batch(orders: DataFrame, delivery: int | None) -> DataFrame:
     day = F.col("o_orderdate")
     if delivery == 1:
         return orders.where(day < F.lit(NEW_SINCE).cast("date"))
-    if delivery == 2:
+    if delivery in (2, 3):
         return orders.where(day >= F.lit(SECOND_BATCH_SINCE).cast("date"))
     return orders
 
@@ -66,10 +68,12 @@ def raw_orders(spark: SparkSession, sf_dir: str, delivery: int | None = None,
     placed = F.when(F.col("o_orderstatus") == "P", "placed").when(F.col("o_orderstatus") == "O", "shipped") \
         .otherwise("delivered")
     progressed = F.when(F.col("o_orderstatus") == "P", "shipped").otherwise("delivered")
-    if delivery == 2:
+    if delivery in (2, 3):
         placed = F.when(_is_known() & (k % 4 == 0), progressed).otherwise(placed)
+    if delivery == 3:
+        placed = F.when(_is_known() & (k % 12 == 0), "cancelled").otherwise(placed)
     status = F.when(k % 9 == 0, "cancelled").otherwise(placed)
-    shout_on = 2 if delivery == 2 else 1
+    shout_on = 2 if delivery in (2, 3) else 1
     payments = F.array(*[F.lit(p) for p in
                          ("PayPal", "Credit_Card", "credit_card", "bank_transfer", "cash_on_delivery")])
     shift = F.when(F.col("variant") == "conflict", 1).otherwise(0)
@@ -191,3 +195,16 @@ def redelivered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     second = raw_lines(spark, sf_dir, 2)
     is_known = F.col("order_date").try_cast("date") < F.lit(NEW_SINCE).cast("date")
     return second.withColumn("ingest_date", F.when(is_known, FIRST_DAY[:10]).otherwise(F.col("ingest_date")))
+
+
+def mended_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first batch once more, with its missing and zero quantities put right."""
+    return raw_lines(spark, sf_dir, 1).withColumn("quantity", F.coalesce(F.nullif("quantity", F.lit("0")), F.lit(" 1")))
+
+
+def channelled_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second batch with a column that the contract doesn't name, in the middle of the others."""
+    turn = F.col("line_item_seq").cast("bigint") % 3
+    rows = raw_lines(spark, sf_dir, 2).withColumn("channel", F.when(turn == 0, "web").when(turn == 1, " shop "))
+    names = [c for c in rows.columns if c != "channel"]
+    return rows.select(*names[:4], "channel", *names[4:])

@@ -52,6 +52,7 @@ class Lake:
         self.files = FileLedger(spark, f"{self.root}/ledger/files")
         self.columns = ColumnLedger(spark, f"{self.root}/ledger/columns")
         self.stages = StageLog(spark, f"{self.root}/ledger/stages")
+        self.times: list[tuple] = []
         #: Columns beyond the contract that deliveries have brought so far.
         self.extra = self.columns.read()
 
@@ -63,10 +64,10 @@ class Lake:
 
     @contextmanager
     def timed(self, stage: str, as_of: str) -> Iterator[None]:
-        """Note the times of a stage of a run once it has ended well."""
+        """Keep the times of a stage of a run that ended well; ``end_run`` writes them to the stage log."""
         started = dt.datetime.now(dt.timezone.utc)
         yield
-        self.stages.note(stage, started, dt.datetime.now(dt.timezone.utc), as_of)
+        self.times.append((stage, started, dt.datetime.now(dt.timezone.utc), as_of))
 
     # --- columns beyond the contract ----------------------------------------------
 
@@ -242,7 +243,9 @@ class Lake:
         self.batches.note(REPORTED, [None], as_of)
 
     def end_run(self) -> None:
-        """Drop what the run wrote aside."""
+        """Write the times of its stages, and drop what the run wrote aside."""
+        self.stages.note(self.times)
+        self.times = []
         self.stage.clear()
         self.stage = Stage(self.spark, f"{self.root}/_stage")
 

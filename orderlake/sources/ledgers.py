@@ -109,10 +109,12 @@ class StageLog:
         self.table = LakeTable(spark, path, schema=_schema(
             stage=T.StringType(), started_at=T.TimestampType(), ended_at=T.TimestampType(), seconds=T.DoubleType()))
 
-    def note(self, stage: str, started: dt.datetime, ended: dt.datetime, as_of: str) -> None:
-        self.table.append(self.spark.range(1).select(
-            F.lit(stage).alias("stage"), F.lit(started).alias("started_at"), F.lit(ended).alias("ended_at"),
-            F.lit((ended - started).total_seconds()).alias("seconds"), moment(as_of).alias("batch")))
+    def note(self, times: list[tuple[str, dt.datetime, dt.datetime, str]]) -> None:
+        if times:
+            self.table.append(self.spark.range(1).select(F.inline(F.array(*[F.struct(
+                F.lit(stage).alias("stage"), F.lit(started).alias("started_at"), F.lit(ended).alias("ended_at"),
+                F.lit((ended - started).total_seconds()).alias("seconds"), moment(as_of).alias("batch"))
+                for stage, started, ended, as_of in times]))))
 
     def read(self) -> DataFrame:
         return self.table.read()
