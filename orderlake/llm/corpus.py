@@ -20,8 +20,9 @@ MASK = 0xFFFFFFFFFFFFFFFF
 BROADCAST_ROWS = 1_000_000
 #: Rows whose texts are Python objects at the same time.
 SLICE = 500
-#: Words a Python worker remembers; further ones are worked out each time they occur.
-REMEMBERED = 600_000
+#: Words that a memory of a Python worker holds, none longer than ``WORD``: below 50 MB with what is known of them.
+#: Further ones are worked out each time they occur.
+REMEMBERED, WORD = 150_000, 64
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -85,11 +86,11 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, modulus
 
 
 class WordHashes(dict):
-    """64-bit hash of a word given as bytes; frequent words are hashed once per worker."""
+    """64-bit hash of a word given as bytes; frequent words are hashed once per task."""
 
     def __missing__(self, word: bytes) -> int:
         value = xxhash.xxh3_64_intdigest(word)
-        if len(self) < REMEMBERED:
+        if len(self) < REMEMBERED and len(word) <= WORD:
             self[word] = value
         return value
 
@@ -143,12 +144,15 @@ def per_text(rows: DataFrame, text: str, make: Callable[[], Callable[[list], lis
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
-        for batch in batches:
-            for start in range(0, batch.num_rows, SLICE):
-                part = batch.slice(start, SLICE)
-                arrays = [part.column(read.index(c)) for c in kept]
-                arrays += work(part.column(read.index(text)).to_pylist())
-                yield pa.RecordBatch.from_arrays(arrays, [f.name for f in fields])
+        try:
+            for batch in batches:
+                for start in range(0, batch.num_rows, SLICE):
+                    part = batch.slice(start, SLICE)
+                    arrays = [part.column(read.index(c)) for c in kept]
+                    arrays += work(part.column(read.index(text)).to_pylist())
+                    yield pa.RecordBatch.from_arrays(arrays, [f.name for f in fields])
+        finally:  # workers are used again by other stages
+            _HASHES.clear()
 
     return rows.select(*read).mapInArrow(run, T.StructType(fields))
 
@@ -163,17 +167,40 @@ def per_partition(rows: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], di
     return rows.mapInArrow(run, fields)
 
 
+def folded_blocks(rows: DataFrame, add: Callable[[int, np.ndarray | None, bytes], np.ndarray]) -> DataFrame:
+    """Fold the binary ``value`` of each ``block``, in the order of the tasks that brought them.
+
+    The rows of a block are streamed: whatever their number, a worker holds one running result beside one
+    Arrow batch, whose bytes Spark bounds.
+    """
+    schema = pa.schema([("block", pa.int32()), ("value", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def result() -> pa.RecordBatch:
+            return pa.RecordBatch.from_pydict({"block": [at], "value": [out.tobytes()]}, schema=schema)
+
+        at, out = None, None
+        for batch in batches:
+            for block, value in zip(batch.column(0).to_pylist(), batch.column(1)):
+                if block != at and out is not None:
+                    yield result()
+                    out = None
+                at, out = block, add(block, out, value.as_py())
+        if out is not None:
+            yield result()
+
+    ordered = (rows.select("block", "value", F.spark_partition_id().alias("task"))
+               .repartition("block").sortWithinPartitions("block", "task"))
+    return ordered.select("block", "value").mapInArrow(run, "block int, value binary")
+
+
 def summed_blocks(rows: DataFrame, kind: str) -> DataFrame:
     """Sum binary number vectors by ``block``: partial sums of partitions become totals."""
-    def total(blocks: pa.Table) -> pa.Table:
-        out = None
-        for value in blocks.column("value"):
-            numbers = np.frombuffer(value.as_py(), kind)
-            out = numbers.copy() if out is None else out + numbers
-        return pa.table({"block": blocks.column("block").slice(0, 1), "value": [out.tobytes()]},
-                        schema=pa.schema([("block", pa.int32()), ("value", pa.binary())]))
-
-    return rows.groupBy("block").applyInArrow(total, "block int, value binary")
+    def add(_: int, out: np.ndarray | None, value: bytes) -> np.ndarray:
+        numbers = np.frombuffer(value, kind)
+        return numbers.copy() if out is None else np.add(out, numbers, out=out)
+
+    return folded_blocks(rows, add)
 
 
 def fresh(rows: DataFrame, name: str) -> str:

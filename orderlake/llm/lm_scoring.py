@@ -32,7 +32,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlake.llm.corpus import (REMEMBERED, SLICE, Shelf, crc_class, fresh, per_partition, per_text, summed_blocks,
+from orderlake.llm.corpus import (REMEMBERED, SLICE, Shelf, crc_class, fresh, folded_blocks, per_partition, per_text,
+                                  summed_blocks,
                                   words)
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -44,7 +45,6 @@ EMBEDDED, KEYED, VALUED, CLASSES = 24, 8, 16, 32
 #: Ids with an embedding of their own; all others have that of their class.
 NAMED = 8192
 #: The attention model learns from all training documents, dealt to so many rounds.
-TRAINED_SHARE = 1.0
 ROUNDS = 3
 BATCH = 128
 RATE = 0.02
@@ -443,17 +443,14 @@ def neighbour_counts(lessons: DataFrame, size: int) -> np.ndarray:
         return {"block": [k for k, _, _ in parts],
                 "value": [np.stack([met[a:b], times[a:b]]).astype("<i8").tobytes() for _, a, b in parts]}
 
-    def summed(blocks: pa.Table) -> pa.Table:
-        block = blocks.column("block")[0].as_py()
-        out = np.zeros(bounds[block + 1] - bounds[block], np.int64)
-        for value in blocks.column("value"):
-            met, times = np.frombuffer(value.as_py(), "<i8").reshape(2, -1)
-            out[met - bounds[block]] += times  # a task names each cell once
-        return pa.table({"block": blocks.column("block").slice(0, 1), "value": [out.astype("<i8").tobytes()]},
-                        schema=pa.schema([("block", pa.int32()), ("value", pa.binary())]))
-
-    kind = "block int, value binary"
-    rows = per_partition(lessons.select("ids"), counted, kind).groupBy("block").applyInArrow(summed, kind).toArrow()
+    def add(block: int, out: np.ndarray | None, value: bytes) -> np.ndarray:
+        met, times = np.frombuffer(value, "<i8").reshape(2, -1)
+        if out is None:
+            out = np.zeros(bounds[block + 1] - bounds[block], "<i8")
+        out[met - bounds[block]] += times  # a task names each cell once
+        return out
+
+    rows = folded_blocks(per_partition(lessons.select("ids"), counted, "block int, value binary"), add).toArrow()
     total = np.zeros(cells, np.int64)
     for block, value in zip(rows.column("block").to_pylist(), rows.column("value")):
         total[bounds[block]:bounds[block + 1]] = np.frombuffer(value.as_py(), "<i8")

@@ -4,7 +4,7 @@ The distinct 3-, 5- and 7-grams of a lower-cased text are hashed to buckets.  Do
 counts of both classes give each bucket its smoothed log-count ratio; buckets
 whose ratio is within a few standard errors of zero get the ratio 0 and so leave
 the model.  A logistic regression is fitted on the scaled indicators by L-BFGS,
-whose losses and gradients are summed over partitions.
+whose losses and gradients are summed over the partitions on the workers.
 
 Only the text is ever an input of a score.  NULL texts score like empty ones.
 Several labels of one document count as the larger one.  Without labels of both
@@ -34,6 +34,10 @@ PENALTY = 0.3
 ROUNDS = 25
 REJECT_FROM = 0.5
 BLOCKS = 32
+#: Partitions of the (bounded) sample, whatever the number of partitions it came from.
+PARTS = 16
+#: Documents whose n-grams a task works on at a time.
+ROWS = 256
 
 
 def buckets(text: str | None) -> np.ndarray:
@@ -114,33 +118,44 @@ def with_buckets(rows: DataFrame) -> DataFrame:
     return per_text(rows, "text", make, "grams array<int>")
 
 
+def grams_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
+    """The first column, the owner of each number of the second (lists), and these numbers; some rows at a time."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, ROWS):
+            part = batch.slice(start, ROWS)
+            sizes, flat = np.diff(part.column(1).offsets.to_numpy()), part.column(1).flatten().to_numpy()
+            yield part.column(0), np.repeat(np.arange(len(sizes)), sizes), flat
+
+
+def in_blocks(numbers: np.ndarray) -> dict[str, list]:
+    return {"block": list(range(BLOCKS)), "value": [b.tobytes() for b in np.array_split(numbers, BLOCKS)]}
+
+
+def summed(rows: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], dict[str, list]], kind: str) -> np.ndarray:
+    """The sum over partitions of the numbers ``work`` gives in blocks; only the sum reaches the driver."""
+    parts = summed_blocks(per_partition(rows, work, "block int, value binary"), kind).collect()
+    return np.concatenate([np.frombuffer(r.value, kind) for r in sorted(parts, key=lambda r: r.block)])
+
+
 def class_counts(sample: DataFrame) -> np.ndarray:
     """Documents per class and bucket, summed over partitions."""
     def counted(batches: Iterator[pa.RecordBatch]) -> dict[str, list]:
-        counts = np.zeros((2, 1 << BITS), np.int64)
-        for batch in batches:
-            label = batch.column(0).to_numpy()
-            lists = batch.column(1)
-            sizes, flat = np.diff(lists.offsets.to_numpy()), lists.flatten().to_numpy()
-            owner = np.repeat(label, sizes)
+        counts = np.zeros((2, 1 << BITS), np.int32)
+        for label, owner, flat in grams_of(batches):
+            of = label.to_numpy()[owner]
             for k in (0, 1):
-                counts[k] += np.bincount(flat[owner == k], minlength=1 << BITS)
-        return {"block": list(range(BLOCKS)),
-                "value": [b.tobytes() for b in np.split(counts.ravel(), BLOCKS)]}
+                np.add.at(counts[k], flat[of == k], 1)
+        return in_blocks(counts.ravel())
 
-    rows = summed_blocks(per_partition(sample.select("label", "grams"), counted, "block int, value binary"),
-                         "<i8").collect()
-    if not rows:
-        return np.zeros((2, 1 << BITS), np.int64)
-    return np.concatenate([np.frombuffer(r.value, "<i8")
-                           for r in sorted(rows, key=lambda r: r.block)]).reshape(2, -1)
+    return summed(sample.select("label", "grams"), counted, "<i4").reshape(2, -1).astype(np.int64)
 
 
 def fit(documents: DataFrame, labels: DataFrame, modulus: int = 5, held_out: int = 0,
         most: int = MOST_LABELLED) -> Model:
     """Learn from labelled documents whose id's crc32 is outside the held-out class."""
     shelf = Shelf(documents.sparkSession, "toxicity")
-    sample = shelf.keep(with_buckets(labelled_sample(documents, labels, "toxic", modulus, held_out, most)), "grams")
+    chosen = labelled_sample(documents, labels, "toxic", modulus, held_out, most).repartition(PARTS)
+    sample = shelf.keep(with_buckets(chosen), "grams")
     by_class = {r.label: r.n for r in sample.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     n0, n1 = (sum(n for k, n in by_class.items() if (k > 0) == bool(c)) for c in (0, 1))
     if not n0 or not n1:
@@ -153,32 +168,32 @@ def fit(documents: DataFrame, labels: DataFrame, modulus: int = 5, held_out: int
     place[chosen] = np.arange(len(chosen))
     scale = ratio[chosen]
 
-    def narrowed():
-        return lambda lists: [pa.array([(p := place[np.array(g, np.int64)])[p >= 0] for g in lists],
-                                       pa.list_(pa.int32()))]
+    def narrowed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for label, owner, flat in grams_of(batches):
+            places = place[flat]
+            sizes = np.bincount(owner[places >= 0], minlength=len(label))
+            lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)), pa.int32()),
+                                             pa.array(places[places >= 0], pa.int32()))
+            yield pa.RecordBatch.from_arrays([label, lists], ["label", "places"])
 
-    narrow = shelf.keep(per_text(sample.select("label", "grams"), "grams", narrowed, "places array<int>"), "places")
+    narrow = shelf.keep(sample.select("label", "grams").mapInArrow(narrowed, "label int, places array<int>"), "places")
 
     def loss(point: np.ndarray) -> tuple[float, np.ndarray]:
         weight, constant = point[:-1] * scale, point[-1]
 
         def partial(batches: Iterator[pa.RecordBatch]) -> dict[str, list]:
-            value, slope = 0.0, np.zeros(len(point))
-            for batch in batches:
-                lists, label = batch.column(1), batch.column(0).to_numpy().astype(float)
-                sizes, flat = np.diff(lists.offsets.to_numpy()), lists.flatten().to_numpy()
-                owner = np.repeat(np.arange(len(sizes)), sizes)
-                margin = constant + np.bincount(owner, weight[flat], len(sizes))
-                value += np.logaddexp(0, margin).sum() - label @ margin
+            total = np.zeros(len(scale) + 2)  # the slope, then the loss
+            for toxic, owner, flat in grams_of(batches):
+                label = toxic.to_numpy().astype(float)
+                margin = constant + np.bincount(owner, weight[flat], len(label))
                 off = 1 / (1 + np.exp(-np.clip(margin, -500, 500))) - label
-                slope[:-1] += np.bincount(flat, off[owner], len(scale)) * scale
-                slope[-1] += off.sum()
-            return {"value": [float(value)], "slope": [slope.tobytes()]}
-
-        rows = per_partition(narrow, partial, "value double, slope binary").collect()
-        value = sum(r.value for r in rows) + PENALTY / 2 * point[:-1] @ point[:-1]
-        slope = sum(np.frombuffer(r.slope, "<f8") for r in rows) + PENALTY * np.append(point[:-1], 0.0)
-        return value, slope
+                total[:-2] += np.bincount(flat, off[owner], len(scale)) * scale
+                total[-2:] += off.sum(), np.logaddexp(0, margin).sum() - label @ margin
+            return in_blocks(total)
+
+        total = summed(narrow, partial, "<f8")
+        return (total[-1] + PENALTY / 2 * point[:-1] @ point[:-1],
+                total[:-1] + PENALTY * np.append(point[:-1], 0.0))
 
     start = np.append(np.zeros(len(chosen)), np.log(n1 / n0))
     point = minimize(loss, start, ROUNDS)

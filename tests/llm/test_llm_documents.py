@@ -340,7 +340,6 @@ def test_isotonic_levels_rise():
 
 def test_scores_follow_the_counts_and_learn(spark, monkeypatch):
     monkeypatch.setattr(lm_scoring, "SENT_WORDS", 20)
-    monkeypatch.setattr(lm_scoring, "TRAINED_SHARE", 1.0)
     draw = random.Random(5)
     texts = {i: " ".join(draw.choice("the cat sat on a mat and saw no dog".split()) for _ in range(draw.randrange(5, 60)))
              + f" rare{i % 90} only{i}" for i in range(400)}
