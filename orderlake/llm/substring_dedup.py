@@ -45,6 +45,8 @@ SPREAD = 26
 BAND_ROWS = 4
 #: Chance that two paragraphs just at the threshold share no band.
 MISS = 1e-4
+#: Words of paragraphs that are hashed together.
+TOGETHER = 16_384
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
@@ -83,14 +85,38 @@ class Passages:
         return signed(mixed((words * self.powers).sum(axis=1, dtype=np.uint64)))
 
     def band_hashes(self, items: np.ndarray) -> np.ndarray:
+        """Bands of one set of shingles."""
         low = np.full(len(self.factors), np.iinfo(np.uint64).max, np.uint64)
         for start in range(0, len(items), 4096):
             np.minimum(low, (self.factors * items[None, start:start + 4096]).min(axis=1), out=low)
-        out = np.arange(1, self.bands + 1, dtype=np.uint64)
-        for row in low.reshape(BAND_ROWS, self.bands):
+        return signed(self.folded(low[:, None]))[0]
+
+    def folded(self, low: np.ndarray) -> np.ndarray:
+        """Bands of each column of minima."""
+        out = np.arange(1, self.bands + 1, dtype=np.uint64)[:, None]
+        for row in low.reshape(BAND_ROWS, self.bands, -1):
             out = mixed(out * np.uint64(0x100000001B3) + row)
+        return out.T
+
+    def paragraph_bands(self, paragraphs: list[np.ndarray]) -> np.ndarray:
+        """Bands of the shingles of paragraphs, given as word hashes: paragraphs x bands."""
+        out = np.zeros((len(paragraphs), self.bands), np.uint64)
+        first, held = 0, 0
+        for last, words in enumerate(paragraphs, 1):
+            held += len(words)
+            if held >= TOGETHER or last == len(paragraphs):
+                out[first:last] = self.bands_together(paragraphs[first:last])
+                first, held = last, 0
         return signed(out)
 
+    def bands_together(self, paragraphs: list[np.ndarray]) -> np.ndarray:
+        sizes = np.array([len(p) for p in paragraphs])
+        ends = np.cumsum(sizes)
+        # shingles over a border between two paragraphs fall into the odd parts
+        items = np.append(shingles(np.concatenate(paragraphs), SHINGLE), np.uint64(0))
+        parts = np.stack([ends - sizes, ends - SHINGLE + 1], axis=1).ravel()
+        return self.folded(np.stack([np.minimum.reduceat(items * f, parts)[::2] for f in self.factors[:, 0]]))
+
 
 def piece_of(hashes: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh3_64_intdigest(hashes.tobytes())).astype(np.int64))
@@ -102,15 +128,21 @@ def marked(documents: DataFrame, bands: int) -> DataFrame:
         passages = Passages(bands)
 
         def work(texts: list) -> list[pa.Array]:
-            lines = []
+            pieces, starts, stops, paragraphs, counts = [], [], [], [], [0]
             for text in texts:
                 hashes, spans = passages.lines(text)
-                lines.append([{"piece": piece_of(hashes[a:b]), "start": a, "stop": b,
-                               "bands": passages.band_hashes(shingles(hashes[a:b], SHINGLE)).tolist()}
-                              for a, b in spans])
-            kind = pa.list_(pa.struct([("piece", pa.int64()), ("start", pa.int32()), ("stop", pa.int32()),
-                                       ("bands", pa.list_(pa.int64()))]))
-            return [pa.array(lines, kind)]
+                for a, b in spans:
+                    pieces.append(piece_of(hashes[a:b]))
+                    starts.append(a)
+                    stops.append(b)
+                    paragraphs.append(hashes[a:b])
+                counts.append(len(pieces))
+            bounds = np.arange(len(pieces) + 1, dtype=np.int32) * np.int32(bands)
+            flat = pa.StructArray.from_arrays(
+                [pa.array(pieces, pa.int64()), pa.array(starts, pa.int32()), pa.array(stops, pa.int32()),
+                 pa.ListArray.from_arrays(pa.array(bounds), pa.array(passages.paragraph_bands(paragraphs).ravel()))],
+                ["piece", "start", "stop", "bands"])
+            return [pa.ListArray.from_arrays(pa.array(counts, pa.int32()), flat)]
 
         return work
 

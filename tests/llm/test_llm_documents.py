@@ -11,7 +11,7 @@ import pytest
 import xxhash
 
 import corpus_pipeline
-from orderlake.llm import (lm_scoring, minmax_dedup, packing, piece_viterbi, quality, substring_dedup, toxicity)
+from orderlake.llm import (corpus, lm_scoring, minmax_dedup, packing, piece_viterbi, quality, substring_dedup, toxicity)
 from orderlake.llm.components import components
 from orderlake.llm.corpus import Shelf, shingles, word_hashes, words
 from orderlake.llm.linking import bands_for
@@ -219,6 +219,28 @@ def test_paragraphs_at_the_threshold_share_a_bucket():
 
 
 
+
+def test_paragraphs_hashed_together_have_the_bands_of_each(monkeypatch):
+    monkeypatch.setattr(substring_dedup, "TOGETHER", 200)
+    passages, draw = substring_dedup.Passages(18), np.random.default_rng(7)
+    texts = [draw.integers(1 << 63, size=n, dtype=np.uint64) for n in (20, 21, 500, 20, 33, 9000, 64, 20)]
+    one_by_one = [passages.band_hashes(shingles(t, substring_dedup.SHINGLE)) for t in texts]
+    assert (passages.paragraph_bands(texts) == np.stack(one_by_one)).all()
+    assert passages.paragraph_bands([]).shape == (0, 18)
+
+
+def test_sums_of_many_tasks_are_folded_in_their_order(spark):
+    rows = spark.range(0, 1500, 1, 500).selectExpr("CAST(id % 3 AS INT) AS block", "id AS x")
+    parts = corpus.per_partition(rows, lambda batches: (lambda t: {
+        "block": t[0], "value": [np.array([x, 1], "<f8").tobytes() for x in t[1]]})(
+        [sum(lists, []) for lists in zip(*([b.column(0).to_pylist(), b.column(1).to_pylist()] for b in batches))]),
+        "block int, value binary")
+    got = {r.block: np.frombuffer(r.value, "<f8").tolist() for r in corpus.summed_blocks(parts, "<f8").collect()}
+    assert got == {k: [float(sum(range(k, 1500, 3))), 500.0] for k in range(3)}
+    order = corpus.folded_blocks(parts, lambda k, out, v: np.append([] if out is None else out, np.frombuffer(v)[0]))
+    assert all(np.frombuffer(r.value).tolist() == list(range(r.block, 1500, 3)) for r in order.collect())
+
+
 def test_windows_are_shared_by_every_long_common_run():
     passages = substring_dedup.Passages(2)
     need = substring_dedup.WINDOW + substring_dedup.SPREAD - 1
