@@ -4,7 +4,8 @@ A document is the set of its word shingles.  Under each random hash function
 both the smallest and the largest value are kept: two unbiased, nearly
 independent similarity samples for one evaluation.  The values are banded;
 documents that share a band are confirmed on their full sets (see ``linking``).
-Documents with equal sets are one class from the start and are compared once.
+Documents with equal sets are one class from the start and are compared once;
+classes are numbered for this, as one id may have texts in several of them.
 
 Documents without words (or NULL) have no shingle and link with nothing; a text
 shorter than a shingle is one shingle.  Repeated rows get the same result each.
@@ -85,25 +86,42 @@ def near_duplicates(documents: DataFrame, size: int = SHINGLE, percent: int = PE
     marks = shelf.keep(per_text(texts, "text", signatures, "n_shingles bigint, same binary, bands array<bigint>"),
                        "marks")
     able = marks.where("same IS NOT NULL AND doc_id IS NOT NULL")
-    classes = shelf.keep(able.groupBy("same").agg(F.min("doc_id").alias("id")), "classes")
-    firsts = (able.join(classes, "same").where("doc_id = id").dropDuplicates(["same"])
+    classes = shelf.keep(able.groupBy("same").agg(F.min("doc_id").alias("first"))
+                         .withColumn("id", F.monotonically_increasing_id()), "classes")
+    firsts = (able.join(classes, "same").where("doc_id = first").dropDuplicates(["same"])
               .select("id", F.explode("bands").alias("bucket")))
     buckets = shelf.keep(firsts.select("bucket", "id").dropDuplicates(["bucket", "id"]), "buckets")
 
     def sets_of(ids: DataFrame, count: int) -> DataFrame:
         def make():
-            return lambda values: [pa.array([signed(np.sort(signed(shingle_set(t, size)))) for t in values],
-                                            pa.list_(pa.int64()))]
+            def work(values: list) -> list[pa.Array]:
+                sets = [shingle_set(t, size) for t in values]
+                return [pa.array([signed(np.sort(signed(s))) for s in sets], pa.list_(pa.int64())),
+                        pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary())]
 
-        wanted = join_small(texts.withColumnRenamed("doc_id", "id"), ids, "id", "inner", count)
-        return (per_text(wanted, "text", make, "items array<bigint>").where(F.size("items") > 0)
-                .dropDuplicates(["id"]))
+            return work
 
-    links = similar_links(buckets, sets_of, percent, shelf)
+        named = join_small(classes.withColumnRenamed("first", "doc_id"), ids, "id", "inner", count)
+        wanted = join_small(texts, named, "doc_id", "inner", count).select("id", "same", "text")
+        return (per_text(wanted, "text", make, "items array<bigint>, read binary").where("read = same")
+                .select("id", "items").dropDuplicates(["id"]))
+
+    links = similar_links(buckets, sets_of, percent, shelf).unionByName(same_document(able, classes, shelf))
     tree = components(links, shelf, "all")
-    found = shelf.keep(classes.join(tree, classes.id == tree.node, "left")
-                       .select("same", F.coalesce("component", "id").alias("component")), "found")
+    placed = shelf.keep(classes.join(tree, classes.id == tree.node, "left")
+                        .select("same", "first", F.coalesce("component", "id").alias("component")), "placed")
+    lowest = placed.groupBy("component").agg(F.min("first").alias("lowest"))
+    found = shelf.keep(placed.join(lowest, "component").select("same", "lowest"), "found")
     return (marks.select("doc_id", "n_shingles", "same").join(found, "same", "left")
             .select("doc_id", "n_shingles",
-                    F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
+                    F.when(F.col("doc_id").isNotNull(), F.coalesce("lowest", "doc_id")).alias("component_id"))
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
+
+
+def same_document(able: DataFrame, classes: DataFrame, shelf: Shelf) -> DataFrame:
+    """Links ``a, b`` among the classes that one document id has texts in: all to the first of them."""
+    again = shelf.keep(able.groupBy("doc_id").count().where("count > 1").select("doc_id"), "again")
+    of_id = join_small(able.select("doc_id", "same"), again, "doc_id", "left_semi", again.count())
+    nodes = shelf.keep(of_id.join(classes, "same").select("doc_id", "id").distinct(), "classes-of-ids")
+    firsts = nodes.groupBy("doc_id").agg(F.min("id").alias("b"))
+    return nodes.join(firsts, "doc_id").where("id != b").select(F.col("id").alias("a"), "b")

@@ -100,6 +100,28 @@ def test_near_duplicates_are_those_of_brute_force(spark, size, percent):
     assert found == expected_classes(texts, size, percent)
 
 
+def test_texts_under_one_id_are_all_linked(spark):
+    base = [prose(s, 120) for s in range(40, 52)]
+    rows = [(200 + k, edited(base[k % 12], k, 0.01)) for k in range(48)]
+    # ids 1 to 6 have texts of two or three groups, 7 one text and an empty one, 8 two texts like no other
+    rows += [(1 + k, edited(base[(2 * k + j) % 12], 900 + 10 * k + j, 0.005)) for k in range(6) for j in range(2 + (k == 5))]
+    rows += [(7, base[3]), (7, ""), (8, prose(70, 50)), (8, prose(71, 50))]
+    found = minmax_dedup.near_duplicates(frame(spark, rows), 3, 85).collect()
+    texts = dict(enumerate(t for _, t in rows))
+    tree = {n: c for n, (_, c) in expected_classes(texts, 3, 85).items()}
+    moved = True
+    while moved:  # components of rows meet in ids
+        moved = False
+        for (m, (x, s)), (n, (y, t)) in itertools.combinations(enumerate(rows), 2):
+            if x == y and s and t and tree[m] != tree[n]:
+                low, high = sorted((tree[m], tree[n]))
+                tree, moved = {k: low if c == high else c for k, c in tree.items()}, True
+    lowest = {c: min(rows[n][0] for n in tree if tree[n] == c) for c in tree.values()}
+    assert sorted((r.doc_id, r.component_id) for r in found) == sorted((i, lowest[tree[n]]) for n, (i, _) in enumerate(rows))
+    assert len({lowest[tree[n]] for n in range(48)}) < len({n % 12 for n in range(48)})
+    assert all(r.kept == (r.doc_id == r.component_id) for r in found)
+
+
 def test_near_duplicates_of_odd_rows(spark):
     rows = minmax_dedup.near_duplicates(odd(spark)).collect()
     assert len(rows) == len(ODD)
