@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderlake.contracts import (NO_PAYMENT, REASON_CONFLICT, REASON_DATE, REASON_NO_KEY,
@@ -43,6 +43,13 @@ def rule_failures(checked: DataFrame) -> DataFrame:
             .groupBy("rule").agg(F.count(F.lit(1)).alias("row_count")))
 
 
+def rule_layers(rules: list[Rule]) -> dict[str, Column]:
+    """Which checked rows each layer takes, and which fail each rule."""
+    failures = F.size("_failed_rules")
+    return {"landed": F.lit(True), "quarantined": failures > 0, "passed": failures == 0,
+            **{rule.name: F.array_contains("_failed_rules", rule.name) for rule in rules}}
+
+
 # --- order-grain flags -------------------------------------------------------
 
 def quarantined_orders(flagged: DataFrame, as_of: str, key: str = "order_id") -> DataFrame:
@@ -76,6 +83,28 @@ def unpriced_orders(flagged: DataFrame, required: tuple[str, ...] = ("quantity",
     return accepted_orders(flagged).where(missing)
 
 
+def order_layers(key: str = "order_id", required: tuple[str, ...] = ("quantity", "unit_price")) -> dict[str, Column]:
+    """Which flagged rows each layer takes, copies still in."""
+    refused, missing = F.col(key).isNull(), F.lit(False)
+    for flag in FLAGS:
+        refused = refused | F.col(flag)
+    for name in required:
+        missing = missing | F.col(name).isNull()
+    return {"raw": F.lit(True), "quarantine": refused, "unpriced": ~refused & missing, "priced": ~refused & ~missing}
+
+
+def layer_sizes(flagged: DataFrame, signature: list[str]) -> DataFrame:
+    """``layer, row_count`` of all layers that come out of the flagged rows, in one scan of them.
+
+    Rows are counted per signature first, as the silver layer has one row of each.
+    """
+    layers = order_layers()
+    groups = flagged.groupBy(*signature).agg(*[F.count_if(taken).alias(layer) for layer, taken in layers.items()])
+    sizes = groups.agg(*[F.coalesce(F.sum(layer), F.lit(0)).alias(layer) for layer in ("raw", "quarantine", "unpriced")],
+                       F.count_if(F.col("priced") > 0).alias("silver"))
+    return sizes.unpivot([], sizes.columns, "layer", "row_count")
+
+
 def clean_orders(flagged: DataFrame, signature: list[str],
                  required: tuple[str, ...] = ("quantity", "unit_price")) -> DataFrame:
     """Accepted rows, one per signature, with standardised status and payment method.

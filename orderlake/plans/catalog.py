@@ -112,13 +112,7 @@ def gold_status_counts(spark, sf_dir):
 
 @query
 def layer_counts(spark, sf_dir):
-    flags = flagged(spark, sf_dir)
-    return audit.layer_counts({
-        "raw": given.raw_orders(spark, sf_dir),
-        "quarantine": quality.quarantined_orders(flags, DAY1),
-        "unpriced": quality.unpriced_orders(flags),
-        "silver": quality.clean_orders(flags, ORDER_SIGNATURE),
-    })
+    return quality.layer_sizes(flagged(spark, sf_dir), ORDER_SIGNATURE)
 
 
 # --- order grain: two batches ----------------------------------------------------
@@ -457,6 +451,18 @@ def lake_version_mismatch(spark, sf_dir):
     return reconcile.version_mismatches(order_lake(spark, sf_dir, batches=3).change_log.read())
 
 
+@query
+def lake_order_layers(spark, sf_dir):
+    """Rows that each layer took of both order batches, as the writes counted them."""
+    return order_lake(spark, sf_dir).layers.read()
+
+
+@query
+def lake_line_layers(spark, sf_dir):
+    """The same for both line batches, with the rows that failed each rule."""
+    return line_lake(spark, sf_dir).layers.read()
+
+
 # --- skew and storage ----------------------------------------------------------------
 
 @query

@@ -6,13 +6,13 @@ import datetime as dt
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderlake.contracts import widened
 from orderlake.operators import audit, layout, merge
-from orderlake.sources.ledgers import REPORTED, ColumnLedger, FileLedger, PartitionLedger, StageLog
+from orderlake.sources.ledgers import REPORTED, ColumnLedger, FileLedger, LayerLog, PartitionLedger, StageLog
 from orderlake.sources.runlog import RunLog
 from orderlake.sources.tables import LakeTable, Stage
 
@@ -53,6 +53,8 @@ class Lake:
         self.columns = ColumnLedger(spark, f"{self.root}/ledger/columns")
         self.stages = StageLog(spark, f"{self.root}/ledger/stages")
         self.times: list[tuple] = []
+        self.layers = LayerLog(spark, f"{self.root}/ledger/layers")
+        self.sizes: list[tuple[str, int, str]] = []
         #: Columns beyond the contract that deliveries have brought so far.
         self.extra = self.columns.read()
 
@@ -69,6 +71,18 @@ class Lake:
         yield
         self.times.append((stage, started, dt.datetime.now(dt.timezone.utc), as_of))
 
+    def keep_counted(self, rows: DataFrame, name: str, layers: dict[str, Column], as_of: str) -> DataFrame:
+        """Write ``rows`` aside, and count in that same pass the rows that each layer's condition holds for.
+
+        The counts are those of the write's own committed tasks, so a repeated
+        task is counted once.  ``end_run`` writes them to the layer log.
+        """
+        counter = Observation()
+        counted = rows.observe(counter, *[F.count_if(condition).alias(layer) for layer, condition in layers.items()])
+        kept = self.stage.keep(counted, name)
+        self.sizes += [(layer, counter.get[layer], as_of) for layer in layers]
+        return kept
+
     # --- columns beyond the contract ----------------------------------------------
 
     def admit(self, rows: DataFrame, found: list[str], as_of: str) -> DataFrame:
@@ -243,9 +257,10 @@ class Lake:
         self.batches.note(REPORTED, [None], as_of)
 
     def end_run(self) -> None:
-        """Write the times of its stages, and drop what the run wrote aside."""
+        """Write the times of its stages and the sizes of its layers, and drop what the run wrote aside."""
         self.stages.note(self.times)
-        self.times = []
+        self.layers.note(self.sizes)
+        self.times, self.sizes = [], []
         self.stage.clear()
         self.stage = Stage(self.spark, f"{self.root}/_stage")
 

@@ -117,7 +117,7 @@ class LineLake(Lake):
         The checked rows are written aside once: quarantine and merge both need
         them, the merge several times.
         """
-        checked = self.stage.keep(self.checked(as_of), "checked_lines")
+        checked = self.keep_counted(self.checked(as_of), "checked_lines", quality.rule_layers(self.rules), as_of)
         same_load = F.col("_quarantined_at") == moment(as_of)
         self.write_batch(self.quarantine, quality.failed(checked, as_of), same_load, as_of)
         return quality.passed(checked)

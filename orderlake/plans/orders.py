@@ -99,13 +99,15 @@ class OrderLake(Lake):
         suspects = typed.join(repeated, ORDER_KEY, "left_semi")
         stats = self.stage.keep(
             duplicates.repeated_key_stats(suspects, "order_id", ORDER_SIGNATURE), "repeated_order_stats")
-        return self.stage.keep(duplicates.flag_orders(typed, "order_id", ORDER_SIGNATURE, stats), "flagged_orders")
+        flagged = duplicates.flag_orders(typed, "order_id", ORDER_SIGNATURE, stats)
+        return self.keep_counted(flagged, "flagged_orders", quality.order_layers(), as_of)
 
     def refine(self, as_of: str) -> None:
         flagged = self.flagged(as_of)
         same_load = F.col("ingest_at") == moment(as_of)
         self.write_batch(self.quarantine, quality.quarantined_orders(flagged, as_of), same_load, as_of)
-        clean = self.stage.keep(quality.clean_orders(flagged, ORDER_SIGNATURE), "clean_orders")
+        clean = self.keep_counted(quality.clean_orders(flagged, ORDER_SIGNATURE), "clean_orders",
+                                  {"clean": F.lit(True)}, as_of)
         if self.keep_history:
             self.merge_history(self.silver, clean, ORDER_KEY, TRACKED, as_of)
         else:

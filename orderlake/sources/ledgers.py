@@ -101,6 +101,23 @@ class ColumnLedger:
             .withColumn("place", F.col("place") + first))
 
 
+class LayerLog:
+    """How many rows of a batch each layer took, counted by the writes that made them."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark = spark
+        self.table = LakeTable(spark, path, schema=_schema(layer=T.StringType(), row_count=T.LongType()))
+
+    def note(self, counts: list[tuple[str, int, str]]) -> None:
+        if counts:
+            self.table.append(self.spark.range(1).select(F.inline(F.array(*[F.struct(
+                F.lit(layer).alias("layer"), F.lit(rows).cast("long").alias("row_count"), moment(as_of).alias("batch"))
+                for layer, rows, as_of in counts]))))
+
+    def read(self) -> DataFrame:
+        return self.table.read()
+
+
 class StageLog:
     """When the stages of each run began and ended."""
 

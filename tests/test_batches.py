@@ -239,3 +239,24 @@ def test_partitions_with_odd_names_are_dropped(spark, tmp_path):
     table.drop_partitions(odd[:-1])
     assert values(table.read(), "d") == [("plain",)]
     assert table.read().where(F.col("d").isNull()).count() == 0
+
+
+# --- sizes of layers ------------------------------------------------------------------
+
+def test_layer_sizes_are_counted_by_the_writes(spark, tmp_path):
+    lake = LineLake(spark, str(tmp_path / "lines"))
+    lake.run(lines(tmp_path / "l1.csv", {}, dict(order_id="2", quantity="0"), dict(order_id=None, region=None)), D1)
+    sizes = dict(values(lake.layers.read(), "layer", "row_count"))
+    assert [sizes[n] for n in ("landed", "quarantined", "passed")] == [3, 2, 1]
+    assert {n: c for n, c in sizes.items() if c and n not in ("landed", "quarantined", "passed")} == {
+        "quantity_greater_than_zero_&_not_null": 1, "order_id_not_null": 1, "region_not_null": 1,
+        "row_signature_count_equals_1": 1}
+    lake = OrderLake(spark, str(tmp_path / "orders"))
+    lake.run(orders(tmp_path / "o1.csv", {}, {}, dict(order_id="O2", quantity="0"), dict(order_id=None),
+                    dict(order_id="O3", unit_price=None)), D1)
+    lake.run(orders(tmp_path / "o2.csv"), D2)
+    assert sorted(map(tuple, lake.layers.read().select("batch", "layer", "row_count").collect())) == sorted(
+        [(lake.log.read().agg(F.min("run_at")).first()[0], n, c) for n, c in
+         dict(raw=5, quarantine=2, unpriced=1, priced=2, clean=1).items()]
+        + [(lake.log.read().agg(F.max("run_at")).first()[0], n, 0) for n in
+           ("raw", "quarantine", "unpriced", "priced", "clean")])
