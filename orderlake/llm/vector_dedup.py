@@ -12,8 +12,13 @@ the vector itself where it is a member), then expands through all nodes within a
 slightly wider range.  What is found is verified by its cosine in double
 precision.  A link is counted where the found vector has its home, hence once.
 
+Links found are audited against brute force for a bounded number of nodes: some
+of all, some of those that have links.  Where too few were found, the search is
+run again with more hops and a wider range, and at last with every vector held
+against every node of the chunks it is asked in, which misses nothing.
+
 Equal vectors of a label are one node with a weight, so copies are never paired.
-``audited_recall`` compares links with brute force for a bounded number of vectors.
+``audited_recall`` makes the same comparison for a finished result.
 
 Vectors that are NULL, zero or hold NULL or non-finite components, rows without
 label or id, and vectors of another length than most link with nothing; they are
@@ -35,8 +40,6 @@ from orderlake.llm.corpus import Shelf, share_of
 from orderlake.llm.vectors import matrix, usable_rows
 
 COSINE = 0.98
-#: Nodes are expanded within this much below the threshold.
-SLACK = 0.05
 #: Vectors per cluster aimed at, clusters at most, rows the centres are fitted on at most.
 CLUSTER = 1024
 MOST_CENTRES = 4096
@@ -48,7 +51,12 @@ POOL = 64
 RANDOM_POOL = 16
 DEGREE = 32
 ALPHA = 1.2
-HOPS = 12
+#: Greedy hops and how far below the threshold nodes are still expanded, for one search after the other as
+#: long as the audit finds too few links; None: all nodes of the chunk.
+SEARCHES = ((12, 0.05), (48, 0.15), None)
+#: Nodes audited among all and, again as many, among those with links; share of their links that has to be found.
+AUDITED = 128
+LEAST_RECALL = 0.999
 
 
 def centres_of(vectors: np.ndarray, count: int, seed: int = 7) -> np.ndarray:
@@ -118,8 +126,15 @@ class Graph:
         offset = np.arange(len(owner)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         return owner, self.targets[self.bounds[nodes][owner] + offset]
 
-    def search(self, wanted: np.ndarray, own: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs (row of ``wanted``, node) with at least this cosine; ``own``: a row's own node or -1."""
+    def search(self, wanted: np.ndarray, own: np.ndarray, least: float,
+               reach: tuple[int, float] | None = SEARCHES[0]) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs (row of ``wanted``, node) with at least this cosine; ``own``: a row's own node or -1.
+
+        ``reach``: greedy hops and the width of the range; None looks at all nodes.
+        """
+        if reach is None:
+            return self.verified(wanted, (wanted @ self.unit.T).astype(np.float32), least)
+        hops, slack = reach
         size = len(self.ids)
         cosine = np.full((len(wanted), size), -2.0, np.float32)
         done = np.zeros((len(wanted), size), bool)
@@ -137,7 +152,7 @@ class Graph:
         see(everyone, np.full(len(wanted), self.medoid))
         members = np.flatnonzero(own >= 0)
         see(members, own[members])
-        for _ in range(HOPS):
+        for _ in range(hops):
             best = np.where(done, np.float32(-3.0), cosine)
             node = best.argmax(axis=1)
             rows = np.flatnonzero(best[everyone, node] > -2.0)
@@ -146,7 +161,7 @@ class Graph:
             done[rows, node[rows]] = True
             owner, neighbours = self.around(node[rows])
             see(rows[owner], neighbours)
-        rows, nodes = np.nonzero((cosine >= least - SLACK) & ~done)
+        rows, nodes = np.nonzero((cosine >= least - slack) & ~done)
         while len(rows):
             done[rows, nodes] = True
             found: list[tuple[np.ndarray, np.ndarray]] = []
@@ -155,8 +170,12 @@ class Graph:
                 owner, neighbours = self.around(k)
                 found.append(see(r[owner], neighbours))
             rows, nodes = (np.concatenate(x) for x in zip(*found))
-            wide = (cosine[rows, nodes] >= least - SLACK) & ~done[rows, nodes]
+            wide = (cosine[rows, nodes] >= least - slack) & ~done[rows, nodes]
             rows, nodes = rows[wide], nodes[wide]
+        return self.verified(wanted, cosine, least)
+
+    def verified(self, wanted: np.ndarray, cosine: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs whose cosine in double precision is large enough, of those that single precision leaves possible."""
         rows, nodes = np.nonzero(cosine >= least - 1e-5)
         exact = np.concatenate([np.einsum("ij,ij->i", wanted[rows[s:s + 65536]], self.unit[nodes[s:s + 65536]])
                                 for s in range(0, len(rows), 65536)] or [np.zeros(0)])
@@ -206,6 +225,41 @@ def near_duplicates(embeddings: DataFrame, cosine: float = COSINE, key: str = "v
             .withColumn("kept", F.coalesce(F.col(key) == F.col("component_id"), F.lit(True))))
 
 
+def node_recall(nodes: DataFrame, links: DataFrame, dim: int, least: float) -> float:
+    """Share of the links of at most ``2 * AUDITED`` nodes that was found, by weight.
+
+    The nodes are chosen by the hash of their ids.  Every task holds its own
+    vectors against theirs, so the truth costs one scan and the driver gets one
+    count per audited node.
+    """
+    counted = links.groupBy("id").agg(F.sum("n_links").alias("n"))
+    linked = counted.where("n > 0").orderBy(F.xxhash64("id"), "id").limit(AUDITED).select("id")
+    drawn = nodes.select(F.col("node").alias("id")).orderBy(F.xxhash64("id"), "id").limit(AUDITED)
+    ids = [r.id for r in linked.union(drawn).distinct().orderBy("id").collect()]
+    asked = nodes.where(F.col("node").isin(ids)).select("node", "label", "v").orderBy("node").toArrow()
+    wanted = matrix(asked.column("v"), dim)
+    wanted = wanted / np.linalg.norm(wanted, axis=1, keepdims=True)
+    names, own = np.array(asked.column("label").to_pylist(), object), asked.column("node").to_numpy()
+
+    def linked_weight(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(len(own), np.int64)
+        for batch in batches:
+            unit = matrix(batch.column(2), dim)
+            unit = unit / np.linalg.norm(unit, axis=1, keepdims=True)
+            # a pair on the very threshold may fall either way with the order of the sum
+            near = unit @ wanted.T >= least + 1e-12
+            near &= np.array(batch.column(1).to_pylist(), object)[:, None] == names
+            near &= batch.column(0).to_numpy()[:, None] != own
+            total += batch.column(3).to_numpy() @ near
+        yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(total)], ["id", "n"])
+
+    rows = nodes.select("node", "label", "v", "weight").mapInArrow(linked_weight, "id bigint, n bigint")
+    true = {r.id: r.n for r in rows.groupBy("id").agg(F.sum("n").alias("n")).where("n > 0").collect()}
+    found = {r.id: r.n for r in counted.where(F.col("id").isin(ids)).collect()}
+    every = sum(true.values())
+    return sum(min(n, found.get(k, 0)) for k, n in true.items()) / every if every else 1.0
+
+
 def _node_links(shelf: Shelf, nodes: DataFrame, least: float) -> DataFrame:
     """``id, n_links, root``: verified links of nodes by weight, and a smaller node each is connected with."""
     radius = math.sqrt(2 - 2 * least)
@@ -273,7 +327,7 @@ def _node_links(shelf: Shelf, nodes: DataFrame, least: float) -> DataFrame:
                        F.pmod(F.xxhash64("node", F.lit(1)), F.greatest("blocks", F.lit(1))).cast("int").alias("q_block"),
                        F.col("node").alias("q_node"), F.col("unit").alias("q_unit")))
 
-    def search(part: pa.Table, asked: pa.Table) -> pa.Table:
+    def search(part: pa.Table, asked: pa.Table, reach: tuple[int, float] | None) -> pa.Table:
         out = {"id": np.zeros(0, np.int64), "n_links": np.zeros(0, np.int64), "root": np.zeros(0, np.int64)}
         if part.num_rows and asked.num_rows:
             unit = np.array([np.frombuffer(x, "<f8") for x in part.column("unit").to_pylist()])
@@ -284,7 +338,7 @@ def _node_links(shelf: Shelf, nodes: DataFrame, least: float) -> DataFrame:
             order = np.argsort(ids)
             place = np.minimum(np.searchsorted(ids[order], wanted_ids), len(ids) - 1)
             own = np.where(ids[order][place] == wanted_ids, order[place], -1)
-            rows, found = graph.search(wanted, own, least)
+            rows, found = graph.search(wanted, own, least, reach)
             good = home[found] & (ids[found] != wanted_ids[rows])
             rows, found = rows[good], found[good]
             links = np.bincount(rows, weight[found], len(wanted)).astype(np.int64)
@@ -298,10 +352,17 @@ def _node_links(shelf: Shelf, nodes: DataFrame, least: float) -> DataFrame:
             out = {"id": every, "n_links": asked_links, "root": every[low]}
         return pa.table(out)
 
-    found = (graph.groupBy(*where, "chunk", "block")
-             .cogroup(queries.groupBy("q_label", "q_cluster", "q_chunk", "q_block"))
-             .applyInArrow(search, "id bigint, n_links bigint, root bigint"))
-    return shelf.keep(found, "links")
+    def links_within(reach: tuple[int, float] | None) -> DataFrame:
+        found = (graph.groupBy(*where, "chunk", "block")
+                 .cogroup(queries.groupBy("q_label", "q_cluster", "q_chunk", "q_block"))
+                 .applyInArrow(lambda part, asked: search(part, asked, reach), "id bigint, n_links bigint, root bigint"))
+        return shelf.keep(found, "links")
+
+    for reach in SEARCHES:
+        links = links_within(reach)
+        if reach is None or node_recall(nodes, links, dim, least) >= LEAST_RECALL:
+            break
+    return links
 
 
 PLACED = ("node bigint, label string, cluster int, home boolean, member boolean, asked boolean, "

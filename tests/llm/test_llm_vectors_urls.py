@@ -2,7 +2,9 @@
 
 import os
 
+import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import __spark_entry__ as entry_file
@@ -103,6 +105,17 @@ def test_links_and_components_are_those_of_brute_force(spark, monkeypatch, small
     assert vector_dedup.audited_recall(vectors(spark, rows), found) == 1.0
 
 
+def test_a_search_that_misses_links_is_found_out_and_made_wider(spark, monkeypatch):
+    rows = crowd(2, 250)
+    blind = (0, -1.0)  # looks at the medoid and the vector itself, and expands nothing
+    monkeypatch.setattr(vector_dedup, "SEARCHES", (blind,))
+    missed = vector_dedup.near_duplicates(vectors(spark, rows))
+    assert vector_dedup.audited_recall(vectors(spark, rows), missed) < 0.5
+    monkeypatch.setattr(vector_dedup, "SEARCHES", (blind, None))
+    found = vector_dedup.near_duplicates(vectors(spark, rows))
+    assert {r.vec_id: (r.n_links, r.component_id) for r in found.collect()} == expected_links(rows, 0.98)
+
+
 def test_links_of_odd_rows(spark):
     rows = vector_dedup.near_duplicates(vectors(spark, ODD)).collect()
     assert len(rows) == len(ODD)
@@ -124,6 +137,14 @@ def test_links_of_odd_rows(spark):
     ("http://x.org/occasion-casinos", "x.org", "/occasion-casinos", None, "allow"),
     ("http://y.org/adult", "y.org", "/adult", None, "allow"),
     ("http://adult.x1.org/adult/poker", "adult.x1.org", "/adult/poker", None, "block"),
+    ("http://x.org/%63asin%6F", "x.org", "/%63asin%6F", None, "block"),
+    ("http://x.org/%2Fcasino%3f", "x.org", "/%2Fcasino%3f", None, "block"),
+    ("http://x.org/%2563asino", "x.org", "/%2563asino", None, "allow"),
+    ("http://x.org/\u00e9casino", "x.org", "/\u00e9casino", None, "allow"),
+    ("http://x.org/e\u0301casino", "x.org", "/e\u0301casino", None, "allow"),
+    ("http://x.org/%C3%A9casino", "x.org", "/%C3%A9casino", None, "allow"),
+    ("http://x.org/\u2014casino", "x.org", "/\u2014casino", None, "block"),
+    ("http://x.org/%", "x.org", "/%", None, "allow"),
     ("no scheme", "", "", None, "allow"), ("", "", "", None, "allow"), (None, "", "", None, "allow"),
 ])
 def test_verdicts(url, host, path, rule, verdict):
@@ -131,6 +152,22 @@ def test_verdicts(url, host, path, rule, verdict):
     assert (found.host, found.path, found.rule, found.verdict) == (host, path, rule, verdict)
 
 
+def test_verdicts_of_odd_urls_are_those_of_the_sql():
+    draw = np.random.default_rng(11)
+    parts = ["casino", "%63asino", "%58xx", "xxx", "poker", "%50oker", "slots", "free", "hot", "%", "%2", "%2f", "%2F", "%25",
+             "63", "/", "-", ".", "\u00e9", "\u0301", "\u4e2d", "\u0663", "\u2014", "%c3%a9", "\n", " ", "\x00", "?", "#", "Z", "9",
+             "http://", "://", "net/es/", "a.example.com/en/", "x.org/", "\u212a", "\u0130"]
+    urls = ["".join(draw.choice(parts, draw.integers(0, 12))) for _ in range(3000)] + [None, ""]
+    pages = pa.table({"page_id": pa.array(range(len(urls)), pa.int64()), "url": pa.array(urls, pa.string())})
+    with duckdb.connect() as connection:
+        connection.register("pages", pages)
+        rows = connection.execute(f"SELECT page_id, host, path, rule, verdict, strict_hits, soft_weight "
+                                  f"FROM ({entry_file.CORPUS_SQL['op3_url_filter']}) ORDER BY page_id").fetchall()
+    judge = url_filter.UrlJudge()
+    assert [(i, *judge.judge(url)) for i, url in enumerate(urls)] == rows
+    assert sum(r[5] > 0 for r in rows) > 300 and sum(r[6] > 0 for r in rows) > 300
+
+
 def test_urls_of_odd_rows(spark):
     pages = spark.createDataFrame([(None, "http://a.org"), (1, None), (2, "x" * 100_000), (2, "x" * 100_000)],
                                   "page_id bigint, url string").selectExpr("*", "'x' AS host", "'y' AS verdict")
@@ -140,9 +177,9 @@ def test_urls_of_odd_rows(spark):
 
 # --- registered queries -----------------------------------------------------------
 
-def test_all_ten_and_the_pipeline_are_registered():
+def test_all_thirteen_and_the_pipeline_are_registered():
     names = [n for n in entry_file.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names if n[2:3].isdigit()) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names if n[2:3].isdigit()) == list(range(1, 14))
     assert "pipeline" in entry_file.queries()
 
 
