@@ -100,11 +100,14 @@ def op13_personal_data(spark, sf_dir):
     return personal_data.report(table(spark, sf_dir, "documents"))
 
 
-_BOUNDED = "'(^|[^a-z0-9])' || term || '($|[^a-z0-9])'"
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_PLAIN = f"""array_to_string(list_transform(
+    regexp_extract_all({_LOWER.format("coalesce(url, '')")}, '%[2-7][0-9a-f]|[^%]+|%'),
+    lambda t: CASE WHEN regexp_full_match(t, '%[2-7][0-9a-f]') THEN chr(CAST('0x' || substr(t, 2) AS INTEGER)) ELSE t END), '')"""
 
 ORACLE_SQL["op3_url_filter"] = f"""
 WITH parts AS (
-  SELECT page_id, coalesce(translate(url, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS low,
+  SELECT page_id, string_split_regex({_LOWER.format(_PLAIN)}, '[^\\p{{L}}\\p{{M}}\\p{{N}}]') AS tokens,
     CASE WHEN contains(coalesce(url, ''), '://')
          THEN translate(regexp_extract(url, '^.*?://([^/?#]*)([^?#]*)', 1, 's'),
                         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE '' END AS host,
@@ -112,15 +115,14 @@ WITH parts AS (
          THEN regexp_extract(url, '^.*?://([^/?#]*)([^?#]*)', 2, 's') ELSE '' END AS path
   FROM pages),
 rules(verdict, rule) AS (VALUES {", ".join(f"('{v}', '{r}')" for v, r in url_filter.RULES)}),
-strict(term) AS (VALUES {", ".join(f"('{t}')" for t in url_filter.STRICT)}),
 soft(term, weight) AS (VALUES {", ".join(f"('{t}', {w})" for t, w in url_filter.SOFT.items())}),
 judged AS (
   SELECT *, (SELECT max_by(struct_pack(rule := r.rule, verdict := r.verdict), length(r.rule)) FROM rules r
      WHERE (host = split_part(r.rule, '/', 1) OR ends_with(host, '.' || split_part(r.rule, '/', 1)))
        AND starts_with(path, substr(r.rule, strpos(r.rule, '/')))) AS best,
-    CAST((SELECT sum(len(regexp_extract_all(regexp_replace(low, '([^a-z0-9])', '\\1\\1', 'g'), {_BOUNDED})))
-          FROM strict) AS INTEGER) AS strict_hits,
-    coalesce((SELECT sum(weight) FROM soft WHERE regexp_matches(low, {_BOUNDED})), 0)::DOUBLE AS soft_weight
+    CAST(len(list_filter(tokens, lambda t: list_contains([{", ".join(f"'{t}'" for t in url_filter.STRICT)}], t)))
+         AS INTEGER) AS strict_hits,
+    coalesce((SELECT sum(weight) FROM soft WHERE list_contains(tokens, term)), 0)::DOUBLE AS soft_weight
   FROM parts)
 SELECT page_id, host, path, best.rule AS rule,
   CASE WHEN best IS NOT NULL THEN best.verdict
@@ -128,8 +130,6 @@ SELECT page_id, host, path, best.rule AS rule,
   strict_hits, soft_weight
 FROM judged"""
 
-_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
-
 ORACLE_SQL["op10_minmax_dedup"] = f"""
 WITH RECURSIVE split AS (
   SELECT doc_id, list_filter(string_split_regex({_LOWER.format("coalesce(text, '')")}, '[\\x20\\x09-\\x0D]+'),

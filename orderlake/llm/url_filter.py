@@ -12,6 +12,8 @@ still looked for in what there is.  Repeated rows are judged each by itself.
 
 from __future__ import annotations
 
+import re
+import unicodedata
 from collections.abc import Iterable
 from typing import NamedTuple
 
@@ -26,13 +28,31 @@ RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example
          ("block", "net/es/"), ("block", "net/fr/"))
 
 #: One of these is enough.
-STRICT = ("porn", "xxx", "casino", "viagra", "escort", "hentai", "camgirl", "malware", "phishing", "warez")
-#: Weight of each; distinct terms add up.
-SOFT = {"adult": 1.0, "ads": 1.0, "bet": 1.0, "betting": 1.0, "cheap": 0.5, "click": 0.5, "dating": 1.0,
-        "free": 0.5, "gambling": 1.0, "hot": 0.5, "loan": 1.0, "pills": 1.0, "poker": 1.0, "popup": 1.0,
-        "promo": 0.5, "sex": 1.0, "slots": 1.0, "spam": 1.0, "track": 1.0, "tracker": 1.0, "win": 0.5, "x": 1.0}
+STRICT = tuple("""
+    porn porno pornos pornstar pornstars pornography freeporn gayporn xxx xxxvideos casino onlinecasino livecasino
+    viagra cialis levitra escort escorts hentai camgirl camgirls camsex sexcam sexcams livesex sexchat sextube
+    sexvideo sexvideos sexshop cybersex blowjob gangbang bukkake creampie cumshot deepthroat handjob milf bdsm
+    fetishism upskirt stripclub swingers malware phishing ransomware spyware keylogger botnet warez keygen keygens
+    crackz serialz
+""".split())
+#: Distinct ones add up, with the weight before them.
+SOFT = {term: weight for weight, terms in ((1.0, """
+    ads adult bet betting dating gambling loan pills poker popup sex slots spam track tracker x sexy erotic erotica
+    nude nudes naked nsfw fetish lingerie webcam webcams hookup hookups milfs stripper strippers swinger bingo
+    roulette blackjack baccarat jackpot lottery lotto sportsbook bookmaker wager wagers betslip payday loans lender
+    forex crypto pharmacy pharma steroids tramadol xanax valium weightloss diet crack cracked cracks torrent
+    torrents pirated nulled hack hacks hacked exploit trojan virus adware popunder clickbait doorway scam replica
+    replicas counterfeit
+"""), (0.5, """
+    cheap click free hot promo win discount coupon coupons deal deals bonus prize prizes winner earn cash money rich
+    singles girls teens babes amateur cams live chat vip gratis offer offers affiliate redirect banner banners
+    sponsor download downloads serial codes unlimited guaranteed instant
+""")) for term in terms.split()}
 SOFT_LIMIT = 2.0
 
+#: Escapes of ASCII characters that can be printed, in lower case.
+ESCAPED = re.compile("%([2-7][0-9a-f])")
+
 COLUMNS = "host string, path string, rule string, verdict string, strict_hits int, soft_weight double"
 TYPES = (pa.string(), pa.string(), pa.string(), pa.string(), pa.int32(), pa.float64())
 
@@ -50,6 +70,16 @@ def ascii_lower(text: str) -> str:
     return text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
 
 
+def plain(url: str) -> str:
+    """The text that terms are looked for in: ASCII escapes resolved once, A-Z lower-cased."""
+    low = ascii_lower(url)
+    return ascii_lower(ESCAPED.sub(lambda found: chr(int(found[1], 16)), low)) if "%" in low else low
+
+
+def touches(character: str) -> bool:
+    return unicodedata.category(character)[0] in "LMN"
+
+
 def split_url(url: str | None) -> tuple[str, str]:
     if url is None or "://" not in url:
         return "", ""
@@ -93,13 +123,11 @@ class UrlJudge:
         """Strict hits, and the summed weight of the distinct soft terms."""
         if not url or not len(self.terms):
             return 0, 0.0
-        text = ascii_lower(url)
+        text = plain(url)
         strict, soft = 0, {}
         for end, (term, weight) in self.terms.iter(text):
             before, after = end - len(term), end + 1
-            if before >= 0 and text[before].isascii() and text[before].isalnum():
-                continue
-            if after < len(text) and text[after].isascii() and text[after].isalnum():
+            if before >= 0 and touches(text[before]) or after < len(text) and touches(text[after]):
                 continue
             if weight is None:
                 strict += 1
