@@ -123,8 +123,13 @@ LINE_RULES = [
     Rule("row_signature_count_equals_1", "has_one_copy", "no other row has the same business values"),
 ]
 
-#: What the line pipeline applies: a row without a line number has no key that a rerun could find it by.
-LINE_LAKE_RULES = [*LINE_RULES, Rule("line_item_seq_not_null", "line_item_seq IS NOT NULL", "the line number is present")]
+#: What the line pipeline applies: a row without a line number has no key that a rerun could find it by, and a price
+#: that its type cannot hold is not to pass for a missing one.
+LINE_LAKE_RULES = [
+    *LINE_RULES,
+    Rule("line_item_seq_not_null", "line_item_seq IS NOT NULL", "the line number is present"),
+    Rule("unit_price_fits", "price_fits", "the unit price is no number too large or too small for its type"),
+]
 
 
 def widened(contract: T.StructType, extra: list[str]) -> T.StructType:

@@ -28,6 +28,12 @@ def conform(rows: DataFrame, contract: T.StructType) -> DataFrame:
     ])
 
 
+def fits(text: Column, kind: T.DataType) -> Column:
+    """False for text that is a number, but one that ``kind`` can't hold or turns into 0; never NULL."""
+    number, held = text.try_cast("double"), text.try_cast(kind)
+    return number.isNull() | F.coalesce((held != 0) | (number == 0), F.lit(False))
+
+
 def subset_contract(contract: T.StructType, present: list[str]) -> T.StructType:
     """The fields of ``contract`` that ``present`` has, in contract order."""
     return T.StructType([field for field in contract if field.name in present])

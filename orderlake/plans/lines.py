@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderlake.contracts import (LINE_BRONZE_KEY, LINE_KEY, LINE_LAKE_RULES, LINE_RAW, LINE_SIGNATURE,
-                                 LINE_TYPES, ORDER_MONTH, ORDER_SUMMARY, TRACKED, VERSION, widened)
+                                 LINE_TYPES, ORDER_MONTH, ORDER_SUMMARY, PRICE, TRACKED, VERSION, widened)
 from orderlake.functions import all_present, moment, month_of
 from orderlake.operators import audit, duplicates, gold, merge, quality, skew, standardize
 from orderlake.plans.lake import Lake, in_partitions, values_of
@@ -17,7 +17,9 @@ RAW = T.StructType([T.StructField(name, T.StringType()) for name in [*LINE_RAW,
                    + [T.StructField("_loaded_at", T.TimestampType())])
 SILVER = T.StructType(LINE_TYPES.fields + VERSION.fields + [ORDER_MONTH])
 SUMMARY = T.StructType(ORDER_SUMMARY.fields + [ORDER_MONTH])
-RESERVED = [*SILVER.names, "closes_now", "key_hash"]
+#: Known while a delivery is checked only: whether the type of prices can hold the price delivered.
+PRICE_FITS = T.StructField("price_fits", T.BooleanType())
+RESERVED = [*SILVER.names, "closes_now", "key_hash", PRICE_FITS.name]
 QUARANTINE = T.StructType(LINE_TYPES.fields + [
     T.StructField("_failed_rules", T.ArrayType(T.StringType())),
     T.StructField("_quarantined_at", T.TimestampType())])
@@ -103,13 +105,16 @@ class LineLake(Lake):
         signature, then exactly among the few rows that share one.  The small
         results are written aside, so their size is known to the planner.
         """
-        typed = standardize.conform(standardize.trim_text(self.delivered(as_of)), widened(LINE_TYPES, self.extra))
+        text = standardize.trim_text(self.delivered(as_of))
+        contract = widened(LINE_TYPES, self.extra).add(PRICE_FITS)
+        typed = standardize.conform(
+            text.withColumn(PRICE_FITS.name, standardize.fits(F.col("unit_price"), PRICE)), contract)
         suspects = self.stage.keep(duplicates.suspect_hashes(typed, LINE_SIGNATURE), "suspect_hashes")
         repeated = self.stage.keep(
             duplicates.repeated_signatures(
                 duplicates.narrow_to_suspects(typed, LINE_SIGNATURE, suspects), LINE_SIGNATURE),
             "repeated_lines")
-        return quality.check_rows(typed, self.rules, LINE_SIGNATURE, repeated)
+        return quality.check_rows(typed, self.rules, LINE_SIGNATURE, repeated).drop(PRICE_FITS.name)
 
     def check(self, as_of: str) -> DataFrame:
         """Quarantine the rows that fail a rule; returns the others.

@@ -104,6 +104,20 @@ def test_a_corrected_batch_takes_its_rows_out_of_quarantine(spark, tmp_path):
     assert not os.path.exists(f"{lake.quarantine.location()}/ingest_date=2026-06-01")
 
 
+def test_a_price_that_its_type_cannot_hold_says_so(spark, tmp_path):
+    lake = LineLake(spark, str(tmp_path / "lake"))
+    prices = {"1": "123456789012345.00", "2": "0.00000049", "3": "-1e20", "4": "0", "5": "0.000", "6": "ten", "7": None,
+              "8": "99999999999999.999999", "9": "0.000001", "10": " 1e3 "}
+    lake.run(lines(tmp_path / "d1.csv", *[dict(order_id=k, unit_price=v) for k, v in prices.items()]), D1)
+    # a price that became NULL fails the copy rule as well, like every row with a NULL business value
+    positive, copies, fits = "unit_price_greater_than_zero_&_not_null", "row_signature_count_equals_1", "unit_price_fits"
+    assert values(lake.quarantine.read(), "order_id", "_failed_rules") == [
+        ("1", [positive, copies, fits]), ("2", [positive, fits]), ("3", [positive, copies, fits]),
+        ("4", [positive]), ("5", [positive]), ("6", [positive, copies]), ("7", [positive, copies])]
+    assert sorted(r.order_id for r in lake.silver.read().collect()) == ["10", "8", "9"]
+    assert "price_fits" not in lake.quarantine.read().columns + lake.silver.read().columns
+
+
 def test_a_corrected_order_batch_takes_its_rows_out_of_quarantine(spark, tmp_path):
     lake = OrderLake(spark, str(tmp_path / "lake"))
     file = orders(tmp_path / "d1.csv", dict(quantity="0"), dict(order_id="O2"))
