@@ -9,7 +9,8 @@ from pyspark.sql import types as T
 from orderlake.contracts import (LINE_BRONZE_KEY, LINE_KEY, LINE_LAKE_RULES, LINE_RAW, LINE_SIGNATURE,
                                  LINE_TYPES, ORDER_MONTH, ORDER_SUMMARY, PRICE, TRACKED, VERSION, widened)
 from orderlake.functions import all_present, moment, month_of
-from orderlake.operators import audit, duplicates, gold, merge, quality, skew, standardize
+from orderlake.operators import audit, gold, quality, skew, standardize
+from orderlake.plans import copies
 from orderlake.plans.lake import Lake, in_partitions, values_of
 from orderlake.sources.raw import file_name, read_delivery
 
@@ -19,6 +20,8 @@ SILVER = T.StructType(LINE_TYPES.fields + VERSION.fields + [ORDER_MONTH])
 SUMMARY = T.StructType(ORDER_SUMMARY.fields + [ORDER_MONTH])
 #: Known while a delivery is checked only: whether the type of prices can hold the price delivered.
 PRICE_FITS = T.StructField("price_fits", T.BooleanType())
+#: A task that reads lines of no more load dates than these writes a file of each; of more, they are rebalanced first.
+FEW_DAYS = 4
 RESERVED = [*SILVER.names, "closes_now", "key_hash", PRICE_FITS.name]
 QUARANTINE = T.StructType(LINE_TYPES.fields + [
     T.StructField("_failed_rules", T.ArrayType(T.StringType())),
@@ -67,7 +70,8 @@ class LineLake(Lake):
     def ingest(self, files: str | list[str], as_of: str) -> None:
         """Land raw rows as text; an order delivered again for a load date replaces its former rows.
 
-        The files are scanned once.  A load date that is no date becomes NULL, so
+        The files are scanned once for their load dates and once for their rows; a
+        delivery of few load dates is written as it is read.  A load date that is no date becomes NULL, so
         the partitions a delivery can bring are days.  Only these are read and
         rewritten.  Rows without an order id or a load date can't be found by
         their key: when the same batch comes again, its former ones make way.
@@ -75,16 +79,20 @@ class LineLake(Lake):
         rows, found = read_delivery(self.spark, files, LINE_RAW, file_name(), "_source_file", RESERVED)
         raw = standardize.stamp_lines(self.admit(rows, found, as_of), F.col("_source_file"), as_of).withColumn(
             "ingest_date", F.trim("ingest_date").try_cast("date").cast("string"))
-        if self.bronze.exists():
+        again = self.bronze.exists()
+        if again:
             raw = self.stage.keep(raw, "landed_lines")
-            days = self.load_days[as_of] = values_of(raw, "ingest_date")
+        days = values_of(raw, "ingest_date")
+        as_read = len(days) <= FEW_DAYS
+        if again:
+            self.load_days[as_of] = days
             held = self.bronze.read().where(in_partitions("ingest_date", days))
             if not held.isEmpty():
                 keyless = ~all_present(LINE_BRONZE_KEY) & (F.col("_loaded_at") == moment(as_of))
-                merged = merge.replace_key_groups(held.where(~keyless), raw, LINE_BRONZE_KEY)
-                self.replace_partitions(self.bronze, merged, as_of, "upsert")
+                merged = self.replaced(held.where(~keyless), raw, LINE_BRONZE_KEY, "lines")
+                self.replace_partitions(self.bronze, merged, as_of, "upsert", as_read)
                 return
-        self.append(self.bronze, raw, as_of)
+        self.append(self.bronze, raw, as_of, as_read)
 
     def delivered(self, as_of: str) -> DataFrame:
         """Raw rows of the delivery stamped ``as_of``, from its load-date partitions where they are known."""
@@ -102,19 +110,15 @@ class LineLake(Lake):
         """The delivery with the names of the rules each row fails.
 
         Copies are found in two steps, first by an eight-byte hash of the
-        signature, then exactly among the few rows that share one.  The small
-        results are written aside, so their size is known to the planner.
+        signature, then exactly among the few rows that may share one; only
+        these are shuffled.
         """
         text = standardize.trim_text(self.delivered(as_of))
         contract = widened(LINE_TYPES, self.extra).add(PRICE_FITS)
         typed = standardize.conform(
             text.withColumn(PRICE_FITS.name, standardize.fits(F.col("unit_price"), PRICE)), contract)
-        suspects = self.stage.keep(duplicates.suspect_hashes(typed, LINE_SIGNATURE), "suspect_hashes")
-        repeated = self.stage.keep(
-            duplicates.repeated_signatures(
-                duplicates.narrow_to_suspects(typed, LINE_SIGNATURE, suspects), LINE_SIGNATURE),
-            "repeated_lines")
-        return quality.check_rows(typed, self.rules, LINE_SIGNATURE, repeated).drop(PRICE_FITS.name)
+        flagged = copies.flag_copies(self.stage, typed, LINE_SIGNATURE)
+        return quality.check_flagged(flagged, self.rules).drop(PRICE_FITS.name)
 
     def check(self, as_of: str) -> DataFrame:
         """Quarantine the rows that fail a rule; returns the others.
