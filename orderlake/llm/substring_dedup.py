@@ -319,6 +319,7 @@ def removals(documents: DataFrame) -> DataFrame:
         return join_small(found, ids, "id", "left_semi", count).dropDuplicates(["id"])
 
     tree = components(similar_links(buckets, sets_of, PERCENT, shelf), shelf, "lines")
+    shelf.drop("buckets")
     placed = (classes.join(tree, classes.id == tree.node, "left")
               .select("id", "lowest", "highest", F.coalesce("component", "id").alias("component")))
     placed = shelf.keep(placed, "placed-lines")
@@ -330,6 +331,8 @@ def removals(documents: DataFrame) -> DataFrame:
                            repeated_lines.count())
                 .where("doc_id != kept_in").select("doc_id", "start", "stop", "kept_in"))
     of_lines = shelf.keep(of_lines, "line-removals")
+    for name in ("marks", "classes", "placed-lines", "repeated-lines"):
+        shelf.drop(name)
 
     # windows only count where no paragraph is removed, so what keeps one is kept itself
     gone = shelf.keep(of_lines.groupBy("doc_id").agg(F.collect_set(F.struct("start", "stop")).alias("gone")), "gone")
@@ -340,6 +343,8 @@ def removals(documents: DataFrame) -> DataFrame:
                           .where("last > kept_in").select("piece", "kept_in"), "repeated-windows")
     hits = join_small(windows, repeated, "piece", "inner", repeated.count()).where("doc_id != kept_in")
     hits = shelf.keep(hits.select("doc_id", "start", "kept_in"), "hits")
+    for name in ("windows", "repeated-windows"):
+        shelf.drop(name)
     of_windows = grown(hits, held)
     return shelf.keep(merge_spans(of_windows.union(of_lines)), "removals")
 
