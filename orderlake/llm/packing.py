@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderlake.llm.corpus import REMEMBERED, SLICE, Shelf
+from orderlake.llm.corpus import LONG_REMEMBERED, SLICE, Shelf, free_memories, lasting_memory
 
 WINDOW = 2048
 END_ID = 1
@@ -44,9 +44,9 @@ def stays_letter(character: str) -> bool:
 class WordIds(dict):
     """Ids of one run of non-space characters, as bytes; frequent runs are encoded once per worker."""
 
-    def __init__(self, encode: Callable[[str], list[int]], kind: str):
+    def __init__(self, encode: Callable[[str], list[int]], kind: str, letters: Callable[[str], list[int]] | None = None):
         super().__init__()
-        self.encode, self.kind = encode, kind
+        self.encode, self.kind, self.letters = encode, kind, letters or encode
 
     def __missing__(self, run: str) -> bytes:
         if run[-1] in ",." and len(run) > 1 and stays_letter(run[-2]):
@@ -54,8 +54,9 @@ class WordIds(dict):
         elif run.isascii() and run != run.lower() and run.isalpha():
             ids = self[run.lower()]
         else:
-            ids = np.array(self.encode(run), self.kind).tobytes()
-        if len(self) < REMEMBERED and len(run) <= 64:
+            found = self.letters(run) if run.isascii() and run.isalpha() else self.encode(run)
+            ids = np.array(found, self.kind).tobytes()
+        if len(self) < LONG_REMEMBERED and len(run) <= 64:
             self[run] = ids
         return ids
 
@@ -64,7 +65,9 @@ class TextEncoder:
     """Ids of whole texts by a tokenizer file.
 
     A tokenizer that drops white space before its merges gives the ids of a text
-    as those of its runs in order; any other encodes the whole text at once.
+    as those of its runs in order; any other encodes the whole text at once.  Runs
+    of lower-case ASCII letters, which no normalizing or splitting touches, go to
+    the tokenizer's merges directly, if that gives the same ids.
     """
 
     def __init__(self, path: str):
@@ -75,7 +78,11 @@ class TextEncoder:
         self.kind = "<u2" if tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         probe = ("Ab, cd.", "x\n\t y's 12", "é. Ö,o  z")
         self.by_runs = all(self.encode(p) == [i for r in p.split() for i in self.encode(r)] for p in probe)
-        self.runs = WordIds(self.encode, self.kind)
+        model = tokenizer.model
+        letters = lambda word: [token.id for token in model.tokenize(word)]
+        added = any(a.content.isascii() and a.content.isalpha() for a in tokenizer.get_added_tokens_decoder().values())
+        plain = not added and all(self.encode(w) == letters(w) for w in ("a", "zq", "the", "letters", "x" * 40))
+        self.runs = WordIds(self.encode, self.kind, letters if plain else None)
 
     def ids(self, text: str | None) -> bytes:
         if not text:
@@ -91,6 +98,7 @@ _ENCODERS: dict[str, TextEncoder] = {}
 def encoder(path: str) -> TextEncoder:
     if path not in _ENCODERS:
         _ENCODERS[path] = TextEncoder(path)
+        lasting_memory(path, _ENCODERS[path].runs)
     return _ENCODERS[path]
 
 
@@ -102,6 +110,7 @@ def tokenized(documents: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
                            T.StructField("ids", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        free_memories(tokenizer)
         encode, part, before = encoder(tokenizer), TaskContext.get().partitionId(), 0
         end = np.array([end_id], encode.kind).tobytes()
         for batch in batches:

@@ -27,7 +27,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from orderlake.llm.corpus import REMEMBERED, per_text
+from orderlake.llm.corpus import LONG_REMEMBERED, lasting_memory, per_text
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 SPACE = "▁"
@@ -45,7 +45,7 @@ class Runs(dict):
     def __missing__(self, run: str) -> tuple[bytes, float]:
         ids, score = self.codec.best(SPACE + run)
         found = (np.array(ids, "<u4").tobytes(), score)
-        if len(self) < REMEMBERED and len(run) <= 64:
+        if len(self) < LONG_REMEMBERED and len(run) <= 64:
             self[run] = found
         return found
 
@@ -151,6 +151,7 @@ _CODECS: dict[str, PieceCodec] = {}
 def codec(model: str) -> PieceCodec:
     if model not in _CODECS:
         _CODECS[model] = PieceCodec(model)
+        lasting_memory(model, _CODECS[model].runs)
     return _CODECS[model]
 
 
@@ -166,7 +167,7 @@ def encode_texts(rows: DataFrame, text: str = "text", model: str = MODEL) -> Dat
 
         return work
 
-    return per_text(rows, text, make, "piece_ids array<int>, piece_score double")
+    return per_text(rows, text, make, "piece_ids array<int>, piece_score double", memory=model)
 
 
 def decode_ids(rows: DataFrame, ids: str = "piece_ids", model: str = MODEL) -> DataFrame:
@@ -175,7 +176,7 @@ def decode_ids(rows: DataFrame, ids: str = "piece_ids", model: str = MODEL) -> D
         pieces = codec(model)
         return lambda lists: [pa.array([pieces.decode(list(x or [])) for x in lists], pa.string())]
 
-    return per_text(rows, ids, make, "text string")
+    return per_text(rows, ids, make, "text string", memory=model)
 
 
 def coding_digest(documents: DataFrame, model: str = MODEL) -> DataFrame:
@@ -193,4 +194,4 @@ def coding_digest(documents: DataFrame, model: str = MODEL) -> DataFrame:
         return work
 
     return per_text(documents.select("doc_id", "text"), "text", make,
-                    "n_ids bigint, ids_crc32 bigint, score double, restored boolean")
+                    "n_ids bigint, ids_crc32 bigint, score double, restored boolean", memory=model)
