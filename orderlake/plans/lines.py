@@ -9,9 +9,9 @@ from pyspark.sql import types as T
 from orderlake.contracts import (LINE_BRONZE_KEY, LINE_KEY, LINE_LAKE_RULES, LINE_RAW, LINE_SIGNATURE,
                                  LINE_TYPES, ORDER_MONTH, ORDER_SUMMARY, PRICE, TRACKED, VERSION, widened)
 from orderlake.functions import all_present, moment, month_of
-from orderlake.operators import audit, gold, quality, skew, standardize
+from orderlake.operators import audit, gold, merge, quality, skew, standardize
 from orderlake.plans import copies
-from orderlake.plans.lake import Lake, in_partitions, values_of
+from orderlake.plans.lake import FEW_DAYS, Lake, in_partitions, values_of
 from orderlake.sources.raw import file_name, read_delivery
 
 RAW = T.StructType([T.StructField(name, T.StringType()) for name in [*LINE_RAW, "_source_file"]]
@@ -20,8 +20,6 @@ SILVER = T.StructType(LINE_TYPES.fields + VERSION.fields + [ORDER_MONTH])
 SUMMARY = T.StructType(ORDER_SUMMARY.fields + [ORDER_MONTH])
 #: Known while a delivery is checked only: whether the type of prices can hold the price delivered.
 PRICE_FITS = T.StructField("price_fits", T.BooleanType())
-#: A task that reads lines of no more load dates than these writes a file of each; of more, they are rebalanced first.
-FEW_DAYS = 4
 RESERVED = [*SILVER.names, "closes_now", "key_hash", PRICE_FITS.name]
 QUARANTINE = T.StructType(LINE_TYPES.fields + [
     T.StructField("_failed_rules", T.ArrayType(T.StringType())),
@@ -70,7 +68,7 @@ class LineLake(Lake):
     def ingest(self, files: str | list[str], as_of: str) -> None:
         """Land raw rows as text; an order delivered again for a load date replaces its former rows.
 
-        The files are scanned once for their load dates and once for their rows; a
+        The files are scanned once for their load dates, or their keys, and once for their rows; a
         delivery of few load dates is written as it is read.  A load date that is no date becomes NULL, so
         the partitions a delivery can bring are days.  Only these are read and
         rewritten.  Rows without an order id or a load date can't be found by
@@ -80,16 +78,15 @@ class LineLake(Lake):
         raw = standardize.stamp_lines(self.admit(rows, found, as_of), F.col("_source_file"), as_of).withColumn(
             "ingest_date", F.trim("ingest_date").try_cast("date").cast("string"))
         again = self.bronze.exists()
-        if again:
-            raw = self.stage.keep(raw, "landed_lines")
-        days = values_of(raw, "ingest_date")
+        brought = self.stage.keep(raw.select(*LINE_BRONZE_KEY).distinct(), "landed_keys") if again else raw
+        days = values_of(brought, "ingest_date")
         as_read = len(days) <= FEW_DAYS
         if again:
             self.load_days[as_of] = days
             held = self.bronze.read().where(in_partitions("ingest_date", days))
             if not held.isEmpty():
                 keyless = ~all_present(LINE_BRONZE_KEY) & (F.col("_loaded_at") == moment(as_of))
-                merged = self.replaced(held.where(~keyless), raw, LINE_BRONZE_KEY, "lines")
+                merged = self.replaced(held.where(~keyless), raw, LINE_BRONZE_KEY, "lines", brought)
                 self.replace_partitions(self.bronze, merged, as_of, "upsert", as_read)
                 return
         self.append(self.bronze, raw, as_of, as_read)
@@ -106,19 +103,31 @@ class LineLake(Lake):
 
     # --- silver -----------------------------------------------------------------
 
+    def typed(self, as_of: str) -> DataFrame:
+        """The delivery trimmed and typed, with ``price_fits``."""
+        text = standardize.trim_text(self.delivered(as_of))
+        contract = widened(LINE_TYPES, self.extra).add(PRICE_FITS)
+        return standardize.conform(
+            text.withColumn(PRICE_FITS.name, standardize.fits(F.col("unit_price"), PRICE)), contract)
+
     def checked(self, as_of: str) -> DataFrame:
-        """The delivery with the names of the rules each row fails.
+        """The delivery with the names of the rules each row fails, written aside and counted.
 
         Copies are found in two steps, first by an eight-byte hash of the
-        signature, then exactly among the few rows that may share one; only
-        these are shuffled.
+        signature, then exactly among the few rows that may share one.  All rows
+        are checked and written once, as if they were no copies; the few that may be
+        are then taken out again, compared in full and checked anew.
         """
-        text = standardize.trim_text(self.delivered(as_of))
-        contract = widened(LINE_TYPES, self.extra).add(PRICE_FITS)
-        typed = standardize.conform(
-            text.withColumn(PRICE_FITS.name, standardize.fits(F.col("unit_price"), PRICE)), contract)
-        flagged = copies.flag_copies(self.stage, typed, LINE_SIGNATURE)
-        return quality.check_flagged(flagged, self.rules).drop(PRICE_FITS.name)
+        told = copies.tell_copies(self.stage, self.typed(as_of), LINE_SIGNATURE)
+        layers, sure = quality.rule_layers(self.rules), ~F.col("_is_suspect")
+        once, counts = self.counted(
+            quality.check_flagged(told.withColumn("has_one_copy", all_present(LINE_SIGNATURE)), self.rules),
+            "checked_lines", {layer: sure & condition for layer, condition in layers.items()})
+        suspects = copies.flag_suspects(
+            self.stage, once.where("_is_suspect").drop("_is_suspect", "_failed_rules"), LINE_SIGNATURE)
+        anew, more = self.counted(quality.check_flagged(suspects, self.rules), "checked_suspects", layers)
+        self.sizes += [(layer, counts[layer] + more[layer], as_of) for layer in layers]
+        return once.where(sure).drop("_is_suspect").unionByName(anew).drop(PRICE_FITS.name)
 
     def check(self, as_of: str) -> DataFrame:
         """Quarantine the rows that fail a rule; returns the others.
@@ -126,7 +135,7 @@ class LineLake(Lake):
         The checked rows are written aside once: quarantine and merge both need
         them, the merge several times.
         """
-        checked = self.keep_counted(self.checked(as_of), "checked_lines", quality.rule_layers(self.rules), as_of)
+        checked = self.checked(as_of)
         same_load = F.col("_quarantined_at") == moment(as_of)
         self.write_batch(self.quarantine, quality.failed(checked, as_of), same_load, as_of)
         return quality.passed(checked)
@@ -147,8 +156,9 @@ class LineLake(Lake):
         """
         months = self.to_report(self.silver, as_of, self.order_summary, self.region_daily)
         mine = F.lit(True) if months is None else in_partitions("order_month", months)
-        summary = gold.order_summary(self.silver.read().where(mine)).withColumn("order_month", month_of("order_date"))
-        self.refresh(self.order_summary, summary, months, as_of)
+        lines = self.silver.read().where(mine)
+        summary = gold.order_summary(lines).withColumn("order_month", month_of("order_date"))
+        self.refresh(self.order_summary, summary, months, as_of, merge.current_versions(lines))
         daily = gold.region_daily(self.order_summary.read().where(mine))
         self.refresh_where(self.region_daily, daily, month_of("order_date"), months, as_of)
         self.reported(as_of)
