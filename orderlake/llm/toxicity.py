@@ -1,6 +1,8 @@
 """Toxicity: a linear classifier on character n-grams scaled by naive Bayes log-count ratios.
 
-The distinct 3-, 5- and 7-grams of a lower-cased text are hashed to buckets.  Document
+The distinct 3-, 5- and 7-grams of a lower-cased text are hashed to buckets, which
+take several times its room: only texts are written aside and sent to the workers, which
+find the buckets where they need them, a document at a time.  Document
 counts of both classes give each bucket its smoothed log-count ratio; buckets
 whose ratio is within a few standard errors of zero get the ratio 0 and so leave
 the model.  A logistic regression is fitted on the scaled indicators by L-BFGS,
@@ -110,12 +112,19 @@ def minimize(value_and_slope: Callable[[np.ndarray], tuple[float, np.ndarray]],
     return at
 
 
-def with_buckets(rows: DataFrame) -> DataFrame:
-    def make():
-        return lambda texts: [pa.array([np.unique(buckets(t)).astype(np.int32) for t in texts],
-                                       pa.list_(pa.int32()))]
+def once(found: np.ndarray, room: np.ndarray) -> np.ndarray:
+    """Each of the buckets once, in any order; ``room`` has a number per bucket, whatever it is."""
+    places = np.arange(len(found), dtype=np.int32)
+    room[found] = places
+    return found[room[found] == places]
+
 
-    return per_text(rows, "text", make, "grams array<int>")
+def texts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list]]:
+    """The first column and the texts of the second, some rows at a time."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, ROWS):
+            part = batch.slice(start, ROWS)
+            yield part.column(0), part.column(1).to_pylist()
 
 
 def grams_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
@@ -140,22 +149,21 @@ def summed(rows: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], dict[str,
 def class_counts(sample: DataFrame) -> np.ndarray:
     """Documents per class and bucket, summed over partitions."""
     def counted(batches: Iterator[pa.RecordBatch]) -> dict[str, list]:
-        counts = np.zeros((2, 1 << BITS), np.int32)
-        for label, owner, flat in grams_of(batches):
-            of = label.to_numpy()[owner]
-            for k in (0, 1):
-                np.add.at(counts[k], flat[of == k], 1)
+        counts, room = np.zeros((2, 1 << BITS), np.int32), np.zeros(1 << BITS, np.int32)
+        for labels, texts in texts_of(batches):
+            for label, text in zip(labels.to_pylist(), texts):
+                if label in (0, 1):
+                    counts[label, once(buckets(text), room)] += 1
         return in_blocks(counts.ravel())
 
-    return summed(sample.select("label", "grams"), counted, "<i4").reshape(2, -1).astype(np.int64)
+    return summed(sample.select("label", "text"), counted, "<i4").reshape(2, -1).astype(np.int64)
 
 
 def fit(documents: DataFrame, labels: DataFrame, modulus: int = 5, held_out: int = 0,
         most: int = MOST_LABELLED) -> Model:
     """Learn from labelled documents whose id's crc32 is outside the held-out class."""
     shelf = Shelf(documents.sparkSession, "toxicity")
-    chosen = labelled_sample(documents, labels, "toxic", modulus, held_out, most).repartition(PARTS)
-    sample = shelf.keep(with_buckets(chosen), "grams")
+    sample = shelf.keep(labelled_sample(documents, labels, "toxic", modulus, held_out, most).repartition(PARTS), "sample")
     by_class = {r.label: r.n for r in sample.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     n0, n1 = (sum(n for k, n in by_class.items() if (k > 0) == bool(c)) for c in (0, 1))
     if not n0 or not n1:
@@ -169,14 +177,12 @@ def fit(documents: DataFrame, labels: DataFrame, modulus: int = 5, held_out: int
     scale = ratio[chosen]
 
     def narrowed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for label, owner, flat in grams_of(batches):
-            places = place[flat]
-            sizes = np.bincount(owner[places >= 0], minlength=len(label))
-            lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)), pa.int32()),
-                                             pa.array(places[places >= 0], pa.int32()))
+        for label, texts in texts_of(batches):
+            found = (place[buckets(text)] for text in texts)
+            lists = pa.array([np.unique(places[places >= 0]) for places in found], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([label, lists], ["label", "places"])
 
-    narrow = shelf.keep(sample.select("label", "grams").mapInArrow(narrowed, "label int, places array<int>"), "places")
+    narrow = shelf.keep(sample.select("label", "text").mapInArrow(narrowed, "label int, places array<int>"), "places")
 
     def loss(point: np.ndarray) -> tuple[float, np.ndarray]:
         weight, constant = point[:-1] * scale, point[-1]
