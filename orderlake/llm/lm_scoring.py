@@ -457,13 +457,8 @@ def neighbour_counts(lessons: DataFrame, size: int) -> np.ndarray:
     return total.reshape(size, 2 * NEIGHBOURS)
 
 
-def fit(texts: DataFrame, counts: DataFrame, shelf: Shelf, tokenizer: str = TOKENIZER) -> Model:
-    """The attention model; ``texts`` are the training documents, ``counts`` their word counts."""
-    def encoded():
-        ids = subwords(tokenizer)
-        return lambda values: [pa.array([b"".join(map(ids.__getitem__, words(t))) for t in values], pa.binary())]
-
-    lessons = shelf.keep(per_text(texts.select("doc_id", "text"), "text", encoded, "ids binary"), "lessons")
+def fit(lessons: DataFrame, counts: DataFrame, tokenizer: str = TOKENIZER) -> Model:
+    """The attention model; ``lessons`` are the training documents as ``doc_id, ids``, ``counts`` their word counts."""
     of_ids = id_counts(counts, tokenizer)
     neighbours = neighbour_counts(lessons, len(of_ids))
     model = classed_model(of_ids, neighbours)
@@ -502,25 +497,22 @@ def scores(documents: DataFrame, modulus: int = 7, held_out: int = 2, tokenizer:
     spark = documents.sparkSession
     shelf = Shelf(spark, "scores")
     texts = documents.select("doc_id", "text")
-    training = texts.where(crc_class("doc_id", modulus) != held_out)
-    counts = shelf.keep(word_counts(training).select("word", "n"), "counts")
+    is_training = crc_class("doc_id", modulus) != held_out
+    counts = shelf.keep(word_counts(texts.where(is_training)).select("word", "n"), "counts")
     all_tokens, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    model = fit(training, counts, shelf, tokenizer)
     least = sent_threshold(counts, SENT_WORDS)
     is_sent = ((F.col("n") >= least) & (F.substring("word", 1, 1) != F.lit(b" "))) | (F.col("word") == F.lit(END_WORD))
     sent = counts.where(is_sent).toArrow()
-    packed = spark.sparkContext.broadcast((sent.column(0).to_pylist(), np.log10(sent.column(1).to_numpy() + 1.0), model))
+    packed = spark.sparkContext.broadcast((sent.column(0).to_pylist(), np.log10(sent.column(1).to_numpy() + 1.0)))
 
-    def scored():
+    def coded():
         ids = subwords(tokenizer)
-        names, values, learnt = packed.value
+        names, values = packed.value
         known = Known(zip(names, values.tolist()))
-        model_scorer = Scorer(learnt)
         ends = known[END_WORD]
 
         def work(values: list) -> list[pa.Array]:
             tokens = [words(t) for t in values]
-            logs = model_scorer.texts([b"".join(map(ids.__getitem__, t)) for t in tokens]) / math.log(10)
             sums, found, rare = [], [], []
             for t in tokens:
                 of_words = np.fromiter(map(known.__getitem__, t), np.float64, len(t))
@@ -530,20 +522,30 @@ def scores(documents: DataFrame, modulus: int = 7, held_out: int = 2, tokenizer:
                 others = Counter(t[i] for i in np.flatnonzero(~sure).tolist())
                 rare.append([{"word": key_of(w), "times": n} for w, n in others.items()])
             return [pa.array([len(t) + 1 for t in tokens], pa.int64()), pa.array(found, pa.int64()),
-                    pa.array(sums, pa.float64()), pa.array(logs, pa.float64()),
+                    pa.array(sums, pa.float64()),
+                    pa.array([b"".join(map(ids.__getitem__, t)) for t in tokens], pa.binary()),
                     pa.array(rare, pa.list_(pa.struct([("word", pa.binary()), ("times", pa.int64())])))]
 
         return work
 
+    # texts are written in subword ids once, for the training and the scoring
     row = fresh(texts, "_row")
-    done = shelf.keep(per_text(texts.withColumn(row, F.monotonically_increasing_id()), "text", scored,
-                               "n_tokens bigint, sure bigint, logs double, score double, "
-                               "rare array<struct<word:binary,times:bigint>>"), "scored")
+    in_ids = shelf.keep(per_text(texts.withColumn(row, F.monotonically_increasing_id()), "text", coded,
+                                     "n_tokens bigint, sure bigint, logs double, ids binary, "
+                                     "rare array<struct<word:binary,times:bigint>>"), "coded")
+    model = fit(in_ids.where(is_training).select("doc_id", "ids"), counts, tokenizer)
+    learnt = spark.sparkContext.broadcast(model)
+
+    def scored():
+        scorer = Scorer(learnt.value)
+        return lambda ids: [pa.array(scorer.texts(ids) / math.log(10), pa.float64())]
+
+    done = shelf.keep(per_text(in_ids.drop("rare"), "ids", scored, "score double"), "scored")
     # a word that was never counted adds log10(0 + 1) = 0, so only matches matter
-    rare = (done.select(row, F.inline("rare")).join(counts.where(~is_sent), "word").groupBy(row)
+    rare = (in_ids.select(row, F.inline("rare")).join(counts.where(~is_sent), "word").groupBy(row)
             .agg(F.sum(F.col("times") * F.log10(F.col("n") + 1)).alias("rare_logs"), F.sum("times").alias("rare_known")))
     nothing = F.lit(0)
-    return (done.drop("rare").join(rare, row, "left")
+    return (done.join(rare, row, "left")
             .select("doc_id", (crc_class("doc_id", modulus) == held_out).alias("held_out"), "n_tokens",
                     (F.col("sure") + F.coalesce("rare_known", nothing)).alias("n_known"),
                     F.lit(all_tokens).cast("bigint").alias("train_tokens"),
