@@ -11,7 +11,7 @@ from orderlake.contracts import (LINE_BRONZE_KEY, LINE_KEY, LINE_LAKE_RULES, LIN
 from orderlake.functions import all_present, moment, month_of
 from orderlake.operators import audit, gold, merge, quality, skew, standardize
 from orderlake.plans import copies
-from orderlake.plans.lake import FEW_DAYS, Lake, in_partitions, values_of
+from orderlake.plans.lake import FEW_DAYS, Lake, first_values, in_partitions, values_of
 from orderlake.sources.raw import file_name, read_delivery
 
 RAW = T.StructType([T.StructField(name, T.StringType()) for name in [*LINE_RAW, "_source_file"]]
@@ -68,28 +68,32 @@ class LineLake(Lake):
     def ingest(self, files: str | list[str], as_of: str) -> None:
         """Land raw rows as text; an order delivered again for a load date replaces its former rows.
 
-        The files are scanned once for their load dates, or their keys, and once for their rows; a
-        delivery of few load dates is written as it is read.  A load date that is no date becomes NULL, so
+        The first delivery is scanned once, any other once for its keys and once for its rows; a delivery of few
+        load dates is written as it is read, where the first rows of the first one tell.  A load date that is no date becomes NULL, so
         the partitions a delivery can bring are days.  Only these are read and
         rewritten.  Rows without an order id or a load date can't be found by
         their key: when the same batch comes again, its former ones make way.
         """
         rows, found = read_delivery(self.spark, files, LINE_RAW, file_name(), "_source_file", RESERVED)
-        raw = standardize.stamp_lines(self.admit(rows, found, as_of), F.col("_source_file"), as_of).withColumn(
-            "ingest_date", F.trim("ingest_date").try_cast("date").cast("string"))
-        again = self.bronze.exists()
-        brought = self.stage.keep(raw.select(*LINE_BRONZE_KEY).distinct(), "landed_keys") if again else raw
+        stamped = standardize.stamp_lines(self.admit(rows, found, as_of), F.col("_source_file"), as_of)
+        day = F.trim("ingest_date").try_cast("date")
+        if not self.bronze.exists():
+            # a partition column: only the names of the folders are text, not the day of each row
+            dated = stamped.withColumn("ingest_date", day)
+            self.append(self.bronze, dated, as_of, len(first_values(dated, "ingest_date")) <= FEW_DAYS)
+            return
+        raw = stamped.withColumn("ingest_date", day.cast("string"))
+        brought = self.stage.keep(raw.select(*LINE_BRONZE_KEY).distinct(), "landed_keys")
         days = values_of(brought, "ingest_date")
         as_read = len(days) <= FEW_DAYS
-        if again:
-            self.load_days[as_of] = days
-            held = self.bronze.read().where(in_partitions("ingest_date", days))
-            if not held.isEmpty():
-                keyless = ~all_present(LINE_BRONZE_KEY) & (F.col("_loaded_at") == moment(as_of))
-                merged = self.replaced(held.where(~keyless), raw, LINE_BRONZE_KEY, "lines", brought)
-                self.replace_partitions(self.bronze, merged, as_of, "upsert", as_read)
-                return
-        self.append(self.bronze, raw, as_of, as_read)
+        self.load_days[as_of] = days
+        held = self.bronze.read().where(in_partitions("ingest_date", days))
+        if held.isEmpty():
+            self.append(self.bronze, raw, as_of, as_read)
+            return
+        keyless = ~all_present(LINE_BRONZE_KEY) & (F.col("_loaded_at") == moment(as_of))
+        merged = self.replaced(held.where(~keyless), raw, LINE_BRONZE_KEY, "lines", brought)
+        self.replace_partitions(self.bronze, merged, as_of, "upsert", as_read)
 
     def delivered(self, as_of: str) -> DataFrame:
         """Raw rows of the delivery stamped ``as_of``, from its load-date partitions where they are known."""
