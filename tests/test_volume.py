@@ -3,11 +3,14 @@
 import glob
 import os
 
+import pyarrow.parquet as pq
+
 from orderlake.contracts import LINE_SIGNATURE
 from orderlake.operators import duplicates
 from orderlake.operators.plan import plan_text
 from orderlake.plans import catalog, deliveries
 from orderlake.plans.lines import LineLake
+from orderlake.sources.tables import LakeTable, Stage
 from samples import lines, values
 from test_copies import no_broadcast  # noqa: F401
 from test_pipelines import D1, D2, DAY1, line_file
@@ -77,3 +80,15 @@ def test_parts_of_hashes_make_the_same_words(spark):
     words = [values(duplicates.suspect_words(find(rows, LINE_SIGNATURE)), "_word", "_bits")
              for find in (duplicates.suspect_hashes, duplicates.suspect_parts)]
     assert words[0] == words[1] and len(words[0]) > 100
+
+
+def test_columns_of_many_values_give_their_dictionary_up_early(spark, tmp_path):
+    rows = spark.range(0, 240_000, 1, 1).selectExpr("left(md5(cast(id div 4 AS string)), 12) AS k", "id % 3 AS v")
+    stage, table = Stage(spark, str(tmp_path)), LakeTable(spark, str(tmp_path / "t"))
+    table.publish(rows)
+    for kept in (stage.keep(rows, "kept"), table.read()):
+        [file] = kept.inputFiles()
+        keys, few = (pq.ParquetFile(file.removeprefix("file://")).metadata.row_group(0).column(c) for c in (0, 1))
+        assert keys.dictionary_page_offset is None or keys.data_page_offset - keys.dictionary_page_offset < 70_000
+        assert few.dictionary_page_offset is not None
+        assert kept.selectExpr("count(DISTINCT k)", "sum(v)").first() == (60_000, 240_000)
