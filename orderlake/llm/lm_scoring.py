@@ -32,9 +32,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlake.llm.corpus import (REMEMBERED, SLICE, Shelf, crc_class, fresh, folded_blocks, per_partition, per_text,
-                                  summed_blocks,
-                                  words)
+from orderlake.llm.corpus import (LONG_REMEMBERED, SLICE, Shelf, crc_class, fresh, folded_blocks, lasting_memory,
+                                  per_partition, per_text, summed_blocks, words)
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 BEGIN, END = 49406, 49407
@@ -59,6 +58,8 @@ BLOCKS = 16
 #: Members of a class at most, the last of them for all its rare ids.
 MEMBERS = 64
 END_WORD = b" "
+#: Name of the workers' memory of subword ids, which lasts while texts are written in them.
+MEMORY = "subwords"
 
 
 def key_of(word: bytes) -> bytes:
@@ -66,22 +67,53 @@ def key_of(word: bytes) -> bytes:
     return word if len(word) <= 40 else b" " + xxhash.xxh3_128_digest(word)
 
 
+#: Marks that never share a piece with a letter before them; those of contractions and special tokens are not among them.
+MARKS = b"!#$%*+,-./:;=?@^_~"
+#: Lower-case letters that normalizing leaves as they are: Latin ones, which are the same in all versions of Unicode.
+LATIN_BELOW = 0x250
+#: The characters that byte-level merges write the bytes as, by the Latin-1 characters of these.
+_SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTE_CHARACTERS = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _SHOWN)}
+
+
+def is_plain(lower: str) -> bool:
+    """True for runs of lower-cased letters that a tokenizer neither changes nor splits before its merges."""
+    return lower.isalpha() and ord(max(lower)) < LATIN_BELOW
+
+
 class SubwordIds(dict):
-    """Ids of a word as bytes; frequent words are encoded once per worker."""
+    """Ids of a word as bytes; frequent words are encoded once per worker.
+
+    Runs of plain letters go to the tokenizer's merges directly, if that gives the same ids, and marks at the end of a
+    word are looked up by themselves.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
+        self.merges = self.tokenizer.model
+        added = any(a.content.isalpha() for a in self.tokenizer.get_added_tokens_decoder().values())
+        probes = ("a", "zq", "the", "letters", "x" * 40, "\u00e9", "\u00f1and\u00fa", "stra\u00dfe", "\u0159\u0142o")
+        self.direct = not added and all(self.merged(w.encode()) == self.encoded(w) for w in probes)
+
+    def merged(self, word: bytes) -> list[int]:
+        return [token.id for token in self.merges.tokenize(word.decode("latin-1").translate(BYTE_CHARACTERS))]
+
+    def encoded(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     def __missing__(self, word: bytes) -> bytes:
-        if len(word) > 1 and word[-1:] in (b",", b".") and word[-2:-1].isalpha():
-            ids = self[word[:-1]] + self[word[-1:]]
+        head = word.rstrip(MARKS)
+        if len(head) < len(word) and head[-1:].isalpha():
+            ids = self[head] + self[word[len(head):]]
         else:
             text = word.decode("utf-8", "replace")
-            ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u2").tobytes()
-        if len(self) < REMEMBERED and len(word) <= 64:
+            lower = text.lower()
+            found = self.merged(lower.encode()) if self.direct and is_plain(lower) else self.encoded(text)
+            ids = np.array(found, "<u2").tobytes()
+        if len(self) < LONG_REMEMBERED and len(word) <= 64:
             self[word] = ids
         return ids
 
@@ -93,6 +125,7 @@ _SENT: dict[int, dict[bytes, float]] = {}
 def subwords(path: str = TOKENIZER) -> SubwordIds:
     if path not in _SUBWORDS:
         _SUBWORDS[path] = SubwordIds(path)
+        lasting_memory(MEMORY, _SUBWORDS[path])
     return _SUBWORDS[path]
 
 
@@ -532,7 +565,7 @@ def scores(documents: DataFrame, modulus: int = 7, held_out: int = 2, tokenizer:
     row = fresh(texts, "_row")
     in_ids = shelf.keep(per_text(texts.withColumn(row, F.monotonically_increasing_id()), "text", coded,
                                      "n_tokens bigint, sure bigint, logs double, ids binary, "
-                                     "rare array<struct<word:binary,times:bigint>>"), "coded")
+                                     "rare array<struct<word:binary,times:bigint>>", memory=MEMORY), "coded")
     model = fit(in_ids.where(is_training).select("doc_id", "ids"), counts, tokenizer)
     learnt = spark.sparkContext.broadcast(model)
 
